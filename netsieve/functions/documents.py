@@ -14,27 +14,30 @@ from pyspark.sql import functions as F
 
 from .text import parse_number
 
-LEVELS = 5  # deepest object nesting that is opened
-
-
 def _children(value: Column) -> Column:
     """Key and value pairs of an object, null for anything else."""
     return F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
 
 
 def _leaf_text(value: Column) -> Column:
+    text = F.try_variant_get(value, "$", "string")
+    # Text that does not start like a list or an object is neither; most values stop here.
+    plain = ~text.startswith("[") & ~text.startswith("{")
     is_list = F.try_variant_get(value, "$", "array<variant>").isNotNull()
-    return F.when(is_list, F.try_variant_get(value, "$[0]", "string")).otherwise(
-        F.try_variant_get(value, "$", "string")
-    )
+    is_object = F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+    return F.when(plain, text).when(is_list, F.try_variant_get(value, "$[0]", "string")).when(~is_object, text)
 
 
-def flatten_document(json_text: Column, roots: Sequence[str] = ()) -> Column:
-    """array<struct<path, text>> of a JSON object. With ``roots`` only those first path segments are
-    opened and kept."""
-    pairs = F.coalesce(_children(F.try_parse_json(json_text)), F.array().cast("array<struct<key:string,value:variant>>"))
-    if roots:
-        pairs = F.filter(pairs, lambda e: F.substring_index(e["key"], ".", 1).isin(list(roots)))
+def flatten_document(json_text: Column, paths: Sequence[str]) -> Column:
+    """array<struct<path, text>> of those paths that occur in a JSON object.
+
+    Only objects under the first segments of the paths are opened, and only as deep as the paths go.
+    """
+    roots = sorted({path.split(".")[0] for path in paths})
+    depth = max(path.count(".") for path in paths)
+    nothing = F.array().cast("array<struct<key:string,value:variant>>")
+    pairs = F.coalesce(_children(F.try_parse_json(json_text)), nothing)
+    pairs = F.filter(pairs, lambda e: F.substring_index(e["key"], ".", 1).isin(roots))
 
     def open_pair(entry: Column) -> Column:
         inner = F.transform(
@@ -45,15 +48,23 @@ def flatten_document(json_text: Column, roots: Sequence[str] = ()) -> Column:
         )
         return F.coalesce(inner, F.array(entry))
 
-    for _ in range(LEVELS - 1):
+    for _ in range(depth):
         pairs = F.flatten(F.transform(pairs, open_pair))
-    return F.transform(pairs, lambda e: F.struct(e["key"].alias("path"), _leaf_text(e["value"]).alias("text")))
+    pairs = F.filter(pairs, lambda e: e["key"].isin(list(paths)))
+    texts = F.transform(
+        pairs,
+        lambda e: F.struct(
+            e["key"].alias("path"),
+            _leaf_text(e["value"]).alias("text"),
+            F.try_variant_get(e["value"], "$", "map<string,variant>").isNull().alias("is_value"),
+        ),
+    )
+    return F.filter(texts, lambda e: e["is_value"])
 
 
 def leaf(json_text: Column, path: str) -> Column:
     """Text at one dotted path of a JSON object; null if absent."""
-    pairs = flatten_document(json_text, [path.split(".")[0]])
-    return F.get(F.filter(pairs, lambda e: e["path"] == path), F.lit(0))["text"]
+    return F.get(flatten_document(json_text, [path]), F.lit(0))["text"]
 
 
 def first_present(*values: Column, default: str | None = "") -> Column:

@@ -15,6 +15,13 @@ WHITESPACE = "".join(
 _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?))$"
 
 
+def once(value: Column) -> Column:
+    """Evaluate in the projection that defines it. A later filter on a derived column would otherwise be
+    pushed below that projection together with a copy of the whole expression; the optimizer moves no
+    filter past an expression that depends on the partition."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 

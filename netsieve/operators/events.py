@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions.documents import first_present, flatten_document, to_float, to_int
-from ..functions.text import strip
+from ..functions.text import once, strip
 
 # The paths each mapper reads, in order of preference.
 SHARED_PATHS = {
@@ -75,11 +75,10 @@ EVENT_COLUMNS = ["_index", "_id", "_source"]
 def flatten(events: DataFrame, paths: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Flatten ``_source`` once: ``_values`` holds the text of each path in order, ``_paths`` the
     paths that occur."""
-    roots = sorted({path.split(".")[0] for path in paths})
     names = F.array(*[F.lit(path) for path in paths])
     return (
-        events.select(*keep, flatten_document(F.col("_source"), roots).alias("_pairs"))
-        .select(*keep, F.col("_pairs.path").alias("_paths"), F.col("_pairs.text").alias("_texts"))
+        events.select(*keep, flatten_document(F.col("_source"), paths).alias("_pairs"))
+        .select(*keep, once(F.col("_pairs.path")).alias("_paths"), once(F.col("_pairs.text")).alias("_texts"))
         .select(
             *keep,
             "_paths",

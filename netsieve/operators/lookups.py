@@ -44,8 +44,15 @@ def lookup_key(
     values: dict[str, str],
     size: tuple[int, int] | None = None,
     total: int | None = None,
+    wanted: Column | None = None,
 ) -> DataFrame:
-    """Left lookup of ``values`` (new name -> table column) by key; null where the key is unknown."""
+    """Left lookup of ``values`` (new name -> table column) by key; null where the key is unknown.
+
+    Rows that are not ``wanted`` keep null and are spread like hot keys.
+    """
+    spread = F.concat(F.lit("\x00"), F.spark_partition_id().cast("string"))
+    if wanted is not None:
+        key = F.when(wanted, key).otherwise(spread)
     if size is None or total is None:
         return _join(frame, key, table, values, hint=False)
     if fits_broadcast(size):
@@ -56,7 +63,6 @@ def lookup_key(
     hot_table = table.filter(hot).withColumn("_is_hot", F.lit(True))
     frame = frame.withColumn("_at", key)
     frame = _join(frame, F.col("_at"), hot_table, hot_names | {"_is_hot": "_is_hot"}, hint=True)
-    spread = F.concat(F.lit("\x00"), F.spark_partition_id().cast("string"))
     frame = frame.withColumn("_at", F.when(F.col("_is_hot"), spread).otherwise(F.col("_at")))
     frame = _join(frame, F.col("_at"), table.filter(~hot), values, hint=False)
     for name in values:
@@ -88,7 +94,9 @@ def lookup_category(
     return _join(frame, value, table, values, hint=fits_broadcast(size))
 
 
-def with_web_lookups(frame: DataFrame, state: FeatureState, record: dict[str, Column], prefix: str = "_web_") -> DataFrame:
+def with_web_lookups(
+    frame: DataFrame, state: FeatureState, record: dict[str, Column], wanted: Column, prefix: str = "_web_"
+) -> DataFrame:
     """Lookups of the web-payload view. Only the endpoint and request keys differ between rows; the
     other keys are the same for every payload, so their few values are read once and become literals."""
     constants = _web_constants(state)
@@ -97,7 +105,7 @@ def with_web_lookups(frame: DataFrame, state: FeatureState, record: dict[str, Co
     keys = traffic_keys(record)
     for kind in ("endpoint", "request"):
         frame = lookup_key(
-            frame, keys[kind], state.counts[kind], {f"{prefix}{kind}": "count"}, state.sizes.get(kind), state.total
+            frame, keys[kind], state.counts[kind], {f"{prefix}{kind}": "count"}, state.sizes.get(kind), state.total, wanted
         )
     return frame
 

@@ -63,7 +63,7 @@ def web_view() -> dict[str, Column]:
     }
 
 
-def with_web_text(frame: DataFrame, uri: str = "uri") -> DataFrame:
-    return frame.withColumn(WEB_URI, text.payload_text(text.as_text(F.col(uri)))).withColumn(
-        WEB_TEXT, text.request_text(F.col(WEB_URI))
-    )
+def with_web_text(frame: DataFrame, uri: str, wanted: Column) -> DataFrame:
+    """The payload text of rows that need a web view, empty for the others."""
+    payload = F.when(wanted, text.payload_text(text.as_text(F.col(uri)))).otherwise(F.lit(""))
+    return frame.withColumn(WEB_URI, payload).withColumn(WEB_TEXT, text.request_text(F.col(WEB_URI)))

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions.patterns import is_suspicious
+from ..functions.text import once
 from .features import with_features
 from .lookups import with_lookups, with_web_lookups
 from .models import with_probability
-from .records import WEB_TEXT, WEB_URI, primary_view, web_view, with_text, with_web_text
+from .records import primary_view, web_view, with_text, with_web_text
 from .state import FeatureState
 
 # A scorer adds "<prefix>probability" to a table with "<prefix><feature>" columns.
@@ -44,16 +45,19 @@ def _score_rows(frame: DataFrame, state: FeatureState, scorer: Scorer, keep: lis
     frame = with_lookups(frame, state, primary)
     if web_uri is None:
         table = scorer(with_features(frame, primary, kept), "")
-        chosen = [F.lit(None).cast("double").alias("web_probability")]
+        web = F.lit(None).cast("double")
     else:
         view = web_view()
-        frame = with_web_lookups(with_web_text(frame, web_uri), state, view)
-        carried = [*kept, HAS_WEB_VIEW, WEB_URI, WEB_TEXT, *[c for c in frame.columns if c.startswith("_web_")]]
-        table = with_features(frame, primary, list(dict.fromkeys(carried)))
-        table = scorer(table, "").select(*dict.fromkeys(carried), "probability")
+        frame = with_web_lookups(with_web_text(frame, web_uri, F.col(HAS_WEB_VIEW)), state, view, F.col(HAS_WEB_VIEW))
+        carried = [*kept, HAS_WEB_VIEW, *[c for c in frame.columns if c.startswith("_web_")]]
+        table = scorer(with_features(frame, primary, carried), "").select(*carried, "probability")
         table = scorer(with_features(table, view, [*kept, HAS_WEB_VIEW, "probability"], "_web_", "web_"), "web_")
-        chosen = [F.when(F.col(HAS_WEB_VIEW), F.col("web_probability")).alias("web_probability")]
-    return table.select(*[F.col(k).alias(n) for k, n in zip(kept, keep)], "probability", *chosen)
+        web = F.when(F.col(HAS_WEB_VIEW), F.col("web_probability"))
+    return table.select(
+        *[F.col(k).alias(n) for k, n in zip(kept, keep)],
+        once(F.col("probability")).alias("probability"),
+        once(web).alias("web_probability"),
+    )
 
 
 def choose_view(scored: DataFrame) -> DataFrame:
@@ -84,19 +88,22 @@ def score_both_views(
     scorer: Scorer,
     keep: Sequence[str] = (),
     web_uri: str | None = "uri",
+    branch: bool = False,
 ) -> DataFrame:
     """``keep`` columns plus ``probability`` and ``web_probability``.
 
     ``frame`` holds unified records. Rows whose ``web_uri`` column looks like an attack also get the
-    web view; None gives no row one. In a batch the other rows take a branch without it, so the
-    second scoring costs only the suspicious rows. A stream keeps one branch.
+    web view, as a second set of feature columns on the same row; None gives no row one. The other
+    rows have an empty web view, which costs little to build but is scored too. ``branch`` scores them
+    in a branch of their own without it: worth a second scan when ``web_uri`` is a stored column and
+    the model is large. Not for streams.
     """
     wanted = list(dict.fromkeys([*keep, *fixed.NETWORK_FIELDS]))
     if web_uri is None:
         return _score_rows(frame.select(*wanted), state, scorer, list(keep), None)
     wanted = list(dict.fromkeys([*wanted, web_uri]))
     flagged = frame.select(*wanted, is_suspicious(F.col(web_uri)).alias(HAS_WEB_VIEW))
-    if frame.isStreaming:
+    if not branch:
         return _score_rows(flagged, state, scorer, list(keep), web_uri)
     plain = _score_rows(flagged.filter(~F.col(HAS_WEB_VIEW)), state, scorer, list(keep), None)
     both = _score_rows(flagged.filter(F.col(HAS_WEB_VIEW)), state, scorer, list(keep), web_uri)
@@ -109,9 +116,10 @@ def predict(
     scorer: Scorer,
     keep: Sequence[str] = (),
     web_uri: str | None = "uri",
+    branch: bool = False,
 ) -> DataFrame:
     """``keep`` columns plus malicious_probability, selected_view, prediction."""
-    scored = choose_view(score_both_views(frame, state, scorer, keep, web_uri))
+    scored = choose_view(score_both_views(frame, state, scorer, keep, web_uri, branch))
     return scored.withColumn("prediction", decide(F.col("malicious_probability")))
 
 
@@ -121,10 +129,11 @@ def prediction_records(
     scorer: Scorer,
     index: str = "index",
     web_uri: str | None = "uri",
+    branch: bool = False,
 ) -> DataFrame:
     """index, prediction, malicious_probability, selected_view, normalized_record."""
     keep = [index, *fixed.NETWORK_FIELDS]
-    scored = predict(frame, state, scorer, keep, web_uri)
+    scored = predict(frame, state, scorer, keep, web_uri, branch)
     return scored.select(
         F.col(index).alias("index"),
         "prediction",

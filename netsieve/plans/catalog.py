@@ -121,7 +121,7 @@ def _payload_folder(spark, folder) -> str:
     for name, label in (("legitimate", 0), ("malicious", 1)):
         part = raw.filter(F.col("label") == label)
         quoted = F.regexp_replace(F.to_json(F.array("payload")), r"^\[|\]$", "")
-        part.select(quoted.alias("value")).write.option("compression", "none").text(f"{root}/{name}/part.json")
+        part.select(quoted.alias("value")).write.option("compression", "none").text(f"{root}/{name}")
     return root
 
 
@@ -1209,7 +1209,7 @@ def _ranking(spark, folder):
 
 @register("a4_a5_payload_source", PAYLOAD_LINES_SQL)
 def _a4(spark, folder):
-    rows = files.payload_rows(spark, _payload_folder(spark, folder), json_lines=True)
+    rows = files.payload_rows(spark, _payload_folder(spark, folder), json_lines=True, pattern="*.txt")
     return rows.groupBy("payload", "label").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -24,7 +24,7 @@ def predict_table(raw: DataFrame, state: FeatureState, scorer: Scorer, index: st
         raw = raw.withColumn(WEB_URI_INPUT, F.col("uri"))
         keep.append(WEB_URI_INPUT)
     unified = unify_for_inference(raw, keep=keep)
-    return prediction_records(unified, state, scorer, index, WEB_URI_INPUT if has_uri else None)
+    return prediction_records(unified, state, scorer, index, WEB_URI_INPUT if has_uri else None, branch=True)
 
 
 def predict_file(spark: SparkSession, artifacts: str, path: str, output: str | None = None) -> DataFrame:

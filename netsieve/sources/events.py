@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.documents import leaf
+from ..functions.text import once
 
 EVENT_SCHEMA = "_index string, _id string, _source string"
 
@@ -40,7 +41,7 @@ def ids_alerts(events: DataFrame) -> DataFrame:
 
 
 def with_timestamp(events: DataFrame) -> DataFrame:
-    return events.withColumn("timestamp", event_timestamp())
+    return events.withColumn("timestamp", once(event_timestamp()))
 
 
 def since(events: DataFrame, cursor: str | None) -> DataFrame:

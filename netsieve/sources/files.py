@@ -54,24 +54,24 @@ def _file_names(spark: SparkSession, folder: str, pattern: str, recursive: bool)
     return reader.load(folder).inputFiles()
 
 
-def payload_files(spark: SparkSession, root: str) -> list[str]:
+def payload_files(spark: SparkSession, root: str, pattern: str = "*.json") -> list[str]:
     """The merged payload files if either exists, else every JSON file below the root, sorted."""
-    files = _file_names(spark, root, "*.json", recursive=True)
+    files = _file_names(spark, root, pattern, recursive=True)
     preferred = [f for want in fixed.PREFERRED_PAYLOAD_FILES for f in files if unquote(f).endswith("/" + want)]
     if preferred:
         return preferred
     if not files:
-        raise FileNotFoundError(f"no JSON files in {root}")
+        raise FileNotFoundError(f"no {pattern} files in {root}")
     return sorted(files)
 
 
-def payload_rows(spark: SparkSession, root: str, json_lines: bool = False) -> DataFrame:
+def payload_rows(spark: SparkSession, root: str, json_lines: bool = False, pattern: str = "*.json") -> DataFrame:
     """(payload, label): elements of JSON arrays, labelled by the path below the root.
 
     An array file is one value and so one task. Large collections should be stored as JSON lines,
     one JSON text per line; ``json_lines`` reads those in splits.
     """
-    files = payload_files(spark, root)
+    files = payload_files(spark, root, pattern)
     # Paths come back percent-encoded where they hold special characters.
     reader = spark.read if json_lines else spark.read.option("wholetext", True)
     text = reader.text([unquote(f) for f in files]).select("value", F.col("_metadata.file_path").alias("path"))
