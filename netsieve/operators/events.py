@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions.documents import first_present, flatten_document, to_float, to_int
+from ..functions.reuse import built_once
 from ..functions.text import once, strip
 
 # The paths each mapper reads, in order of preference.
@@ -72,17 +73,24 @@ SINGLE_IDS_PATHS = SHARED_PATHS | IDS_ADDRESS_PATHS | {
 EVENT_COLUMNS = ["_index", "_id", "_source"]
 
 
+@built_once
+def _flattening(paths: tuple[str, ...]) -> tuple[Column, Column]:
+    names = F.array(*[F.lit(path) for path in paths])
+    values = F.transform(names, lambda n: F.get("_texts", F.array_position("_paths", n) - 1))
+    return flatten_document(F.col("_source"), paths), values
+
+
 def flatten(events: DataFrame, paths: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Flatten ``_source`` once: ``_values`` holds the text of each path in order, ``_paths`` the
     paths that occur."""
-    names = F.array(*[F.lit(path) for path in paths])
+    pairs, values = _flattening(tuple(paths))
     return (
-        events.select(*keep, flatten_document(F.col("_source"), paths).alias("_pairs"))
+        events.select(*keep, pairs.alias("_pairs"))
         .select(*keep, once(F.col("_pairs.path")).alias("_paths"), once(F.col("_pairs.text")).alias("_texts"))
         .select(
             *keep,
             "_paths",
-            F.transform(names, lambda n: F.get("_texts", F.array_position("_paths", n) - 1)).alias("_values"),
+            values.alias("_values"),
         )
     )
 
@@ -208,7 +216,8 @@ def _map(
     )
 
 
-def map_firewall_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@built_once
+def _firewall_columns() -> tuple[EventFields, dict[str, Column], dict[str, Column]]:
     event = EventFields(FIREWALL_PATHS)
     record = _record(event, F.upper(event.get("protocol")), byte_count(event), request_uri(event))
     context = {
@@ -217,10 +226,11 @@ def map_firewall_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFram
         "rule_name": event.get("rule"),
         "severity": F.lit(0),
     }
-    return _map(events, event, fixed.FIREWALL_EVENTS, record, context, keep)
+    return event, record, context
 
 
-def map_ids_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@built_once
+def _ids_columns() -> tuple[EventFields, dict[str, Column], dict[str, Column]]:
     event = EventFields(IDS_PATHS)
     own = F.nullif(F.upper(event.get("protocol")), F.lit(""))
     protocol = F.coalesce(own, F.upper(event.get("fallback_protocol")))
@@ -231,10 +241,11 @@ def map_ids_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         "rule_name": event.get("rule"),
         "severity": event.whole("severity"),
     }
-    return _map(events, event, fixed.IDS_EVENTS, record, context, keep)
+    return event, record, context
 
 
-def map_single_ids_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+@built_once
+def _single_ids_columns() -> tuple[EventFields, dict[str, Column], dict[str, Column]]:
     event = EventFields(SINGLE_IDS_PATHS)
     record = _record(event, F.upper(event.get("protocol")), single_byte_count(event), single_ids_uri(event))
     context = {
@@ -244,4 +255,19 @@ def map_single_ids_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFr
         "action": event.get("action", default="alert"),
         "message": event.get("message"),
     }
+    return event, record, context
+
+
+def map_firewall_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    event, record, context = _firewall_columns()
+    return _map(events, event, fixed.FIREWALL_EVENTS, record, context, keep)
+
+
+def map_ids_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    event, record, context = _ids_columns()
+    return _map(events, event, fixed.IDS_EVENTS, record, context, keep)
+
+
+def map_single_ids_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    event, record, context = _single_ids_columns()
     return _map(events, event, fixed.IDS_EVENTS, record, context, keep)

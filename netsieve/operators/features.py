@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fixed
 from ..functions import patterns
 from ..functions.patterns import count_text
+from ..functions.reuse import built_once
 from .lookups import with_lookups
-from .records import primary_view, with_text
+from .records import VIEWS, with_text
 from .state import MIN_COUNT, FeatureState, fit
 
 
@@ -119,20 +120,26 @@ def state_features(prefix: str = "_") -> dict[str, Column]:
     }
 
 
+@built_once
+def _feature_columns(view: str, lookup_prefix: str, prefix: str) -> tuple[dict[str, Column], list[Column]]:
+    """Staged pattern counts and, over them, the features in model order."""
+    record = VIEWS[view]()
+    counted = text_features(record["text"])
+    staged = {f"_f_{name}": column.cast("float") for name, column in counted.items()}
+    counts = {name: F.col(f"_f_{name}") for name in counted}
+    features = record_features(record) | counts | score_features(counts) | state_features(lookup_prefix)
+    return staged, [features[name].cast("float").alias(prefix + name) for name in fixed.FEATURE_NAMES]
+
+
 def with_features(
-    frame: DataFrame, record: dict[str, Column], keep: Sequence[str], lookup_prefix: str = "_", prefix: str = ""
+    frame: DataFrame, view: str, keep: Sequence[str], lookup_prefix: str = "_", prefix: str = ""
 ) -> DataFrame:
-    """Select ``keep`` and the 47 features, named ``<prefix><feature>``, in model order.
+    """Select ``keep`` and the 47 features of a view, named ``<prefix><feature>``, in model order.
 
     Counts are projected first, so each pattern runs once although the scores read it again.
     """
-    counted = text_features(record["text"])
-    staged = {f"_f_{name}": column.cast("float") for name, column in counted.items()}
-    frame = frame.withColumns(staged)
-    counts = {name: F.col(f"_f_{name}") for name in counted}
-    features = record_features(record) | counts | score_features(counts) | state_features(lookup_prefix)
-    chosen = [features[name].cast("float").alias(prefix + name) for name in fixed.FEATURE_NAMES]
-    return frame.select(*[F.col(name) for name in keep], *chosen)
+    staged, chosen = _feature_columns(view, lookup_prefix, prefix)
+    return frame.withColumns(staged).select(*[F.col(name) for name in keep], *chosen)
 
 
 def transform(frame: DataFrame, state: FeatureState, keep: Sequence[str] = ()) -> DataFrame:
@@ -140,12 +147,11 @@ def transform(frame: DataFrame, state: FeatureState, keep: Sequence[str] = ()) -
 
     Only the record and ``keep`` travel through the lookups; the features are computed after them.
     """
-    record = primary_view()
     wanted = list(dict.fromkeys([*keep, *fixed.NETWORK_FIELDS]))
     kept = {f"_keep_{name}": F.col(name) for name in keep}
     frame = with_text(frame.select(*wanted)).withColumns(kept) if kept else with_text(frame.select(*wanted))
-    frame = with_lookups(frame, state, record)
-    table = with_features(frame, record, list(kept))
+    frame = with_lookups(frame, state)
+    table = with_features(frame, "primary", list(kept))
     # A kept column that is also a feature keeps only the feature.
     clash = [name for name in keep if name in fixed.FEATURE_NAMES]
     table = table.drop(*[f"_keep_{name}" for name in clash])

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import traffic_keys
+from ..functions.reuse import built_once
+from .records import VIEWS
 from .state import COUNT_KINDS, MIN_COUNT, FeatureState
 
 BROADCAST_ROWS = 500_000
@@ -65,18 +67,22 @@ def lookup_key(
     frame = _join(frame, F.col("_at"), hot_table, hot_names | {"_is_hot": "_is_hot"}, hint=True)
     frame = frame.withColumn("_at", F.when(F.col("_is_hot"), spread).otherwise(F.col("_at")))
     frame = _join(frame, F.col("_at"), table.filter(~hot), values, hint=False)
-    for name in values:
-        frame = frame.withColumn(name, F.coalesce(F.col(f"_hot{name}"), F.col(name)))
+    frame = frame.withColumns({name: F.coalesce(F.col(f"_hot{name}"), F.col(name)) for name in values})
     return frame.drop("_at", "_is_hot", *hot_names)
 
 
-def with_lookups(frame: DataFrame, state: FeatureState, record: dict[str, Column], prefix: str = "_") -> DataFrame:
-    """All category and key lookups of one record view, as ``<prefix><name>`` columns."""
+@built_once
+def _view_keys(view: str) -> dict[str, Column]:
+    return traffic_keys(VIEWS[view]())
+
+
+def with_lookups(frame: DataFrame, state: FeatureState, prefix: str = "_") -> DataFrame:
+    """All category and key lookups of the record, as ``<prefix><name>`` columns."""
+    record, keys = VIEWS["primary"](), _view_keys("primary")
     for name in ("protocol", "http_method"):
         table = getattr(state, name)
         values = {f"{prefix}{name}_code": "code", f"{prefix}{name}_frequency": "frequency"}
         frame = lookup_category(frame, record[name], table, values, state.sizes.get(name))
-    keys = traffic_keys(record)
     frame = lookup_key(
         frame, keys["src"], state.sources, {f"{prefix}src": "count", f"{prefix}ports": "ports"},
         state.sizes.get("sources"), state.total,
@@ -94,15 +100,12 @@ def lookup_category(
     return _join(frame, value, table, values, hint=fits_broadcast(size))
 
 
-def with_web_lookups(
-    frame: DataFrame, state: FeatureState, record: dict[str, Column], wanted: Column, prefix: str = "_web_"
-) -> DataFrame:
+def with_web_lookups(frame: DataFrame, state: FeatureState, wanted: Column, prefix: str = "_web_") -> DataFrame:
     """Lookups of the web-payload view. Only the endpoint and request keys differ between rows; the
     other keys are the same for every payload, so their few values are read once and become literals."""
     constants = _web_constants(state)
-    for name, value in constants.items():
-        frame = frame.withColumn(f"{prefix}{name}", F.lit(value))
-    keys = traffic_keys(record)
+    frame = frame.withColumns({f"{prefix}{name}": F.lit(value) for name, value in constants.items()})
+    keys = _view_keys("web")
     for kind in ("endpoint", "request"):
         frame = lookup_key(
             frame, keys[kind], state.counts[kind], {f"{prefix}{kind}": "count"}, state.sizes.get(kind), state.total, wanted

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.reuse import built_once
 
 TEXT = "_text"
 WEB_URI = "_web_uri"
@@ -25,6 +26,7 @@ def _clean_int(name: str) -> Column:
     return F.coalesce(F.col(name).cast("int"), F.lit(0))
 
 
+@built_once
 def primary_view() -> dict[str, Column]:
     """The record in the unified columns of the row; needs :func:`with_text`."""
     return {
@@ -46,6 +48,7 @@ def with_text(frame: DataFrame) -> DataFrame:
     return frame.withColumn(TEXT, text.request_text(F.col("uri")))
 
 
+@built_once
 def web_view() -> dict[str, Column]:
     """The URI of the row alone, seen as a raw web payload; needs :func:`with_web_text`."""
     zero = F.lit(0.0).cast("float")
@@ -67,3 +70,6 @@ def with_web_text(frame: DataFrame, uri: str, wanted: Column) -> DataFrame:
     """The payload text of rows that need a web view, empty for the others."""
     payload = F.when(wanted, text.payload_text(text.as_text(F.col(uri)))).otherwise(F.lit(""))
     return frame.withColumn(WEB_URI, payload).withColumn(WEB_TEXT, text.request_text(F.col(WEB_URI)))
+
+
+VIEWS = {"primary": primary_view, "web": web_view}

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions.patterns import is_suspicious
+from ..functions.reuse import built_once
 from ..functions.text import once
 from .features import with_features
 from .lookups import with_lookups, with_web_lookups
 from .models import with_probability
-from .records import primary_view, web_view, with_text, with_web_text
+from .records import with_text, with_web_text
 from .state import FeatureState
 
 # A scorer adds "<prefix>probability" to a table with "<prefix><feature>" columns.
@@ -37,21 +38,24 @@ def rule_scorer(features: DataFrame, prefix: str = "") -> DataFrame:
     return features.withColumn(f"{prefix}probability", score / (score + 4.0))
 
 
+@built_once
+def _suspicious(uri: str) -> Column:
+    return is_suspicious(F.col(uri))
+
+
 def _score_rows(frame: DataFrame, state: FeatureState, scorer: Scorer, keep: list[str], web_uri: str | None) -> DataFrame:
     """``keep`` columns, ``probability`` and ``web_probability`` (null without a web view)."""
-    primary = primary_view()
     kept = [f"_keep_{name}" for name in keep]
     frame = with_text(frame).withColumns(dict(zip(kept, [F.col(name) for name in keep])))
-    frame = with_lookups(frame, state, primary)
+    frame = with_lookups(frame, state)
     if web_uri is None:
-        table = scorer(with_features(frame, primary, kept), "")
+        table = scorer(with_features(frame, "primary", kept), "")
         web = F.lit(None).cast("double")
     else:
-        view = web_view()
-        frame = with_web_lookups(with_web_text(frame, web_uri, F.col(HAS_WEB_VIEW)), state, view, F.col(HAS_WEB_VIEW))
+        frame = with_web_lookups(with_web_text(frame, web_uri, F.col(HAS_WEB_VIEW)), state, F.col(HAS_WEB_VIEW))
         carried = [*kept, HAS_WEB_VIEW, *[c for c in frame.columns if c.startswith("_web_")]]
-        table = scorer(with_features(frame, primary, carried), "").select(*carried, "probability")
-        table = scorer(with_features(table, view, [*kept, HAS_WEB_VIEW, "probability"], "_web_", "web_"), "web_")
+        table = scorer(with_features(frame, "primary", carried), "").select(*carried, "probability")
+        table = scorer(with_features(table, "web", [*kept, HAS_WEB_VIEW, "probability"], "_web_", "web_"), "web_")
         web = F.when(F.col(HAS_WEB_VIEW), F.col("web_probability"))
     return table.select(
         *[F.col(k).alias(n) for k, n in zip(kept, keep)],
@@ -102,7 +106,7 @@ def score_both_views(
     if web_uri is None:
         return _score_rows(frame.select(*wanted), state, scorer, list(keep), None)
     wanted = list(dict.fromkeys([*wanted, web_uri]))
-    flagged = frame.select(*wanted, is_suspicious(F.col(web_uri)).alias(HAS_WEB_VIEW))
+    flagged = frame.select(*wanted, _suspicious(web_uri).alias(HAS_WEB_VIEW))
     if not branch:
         return _score_rows(flagged, state, scorer, list(keep), web_uri)
     plain = _score_rows(flagged.filter(~F.col(HAS_WEB_VIEW)), state, scorer, list(keep), None)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.reuse import built_once
 from ..operators.unify import unify_records
 
 # Request texts by event_id % 12; the other slots are blank.
@@ -39,16 +40,16 @@ def _choose(selector: Column, options: dict, default: object) -> Column:
     return chosen.otherwise(default if isinstance(default, Column) else F.lit(default))
 
 
-def flows(events: DataFrame) -> DataFrame:
-    """Flow records with raw text fields: the input of every normaliser test."""
+@built_once
+def _flow_columns() -> list[Column]:
     event, user = F.col("event_id"), F.col("user_id")
     k = F.get_json_object("props", "$.k").cast("int")
     octet = (user % 256).cast("string")
     item = F.concat(F.lit("/items/"), (event % 499).cast("string"), F.lit("?page="), k.cast("string"), F.lit("&sort=asc"))
     slot = event % 12
-    return events.select(
-        "event_id",
-        "ts",
+    return [
+        F.col("event_id"),
+        F.col("ts"),
         F.when(user % 11 == 0, F.lit(""))
         .when(user % 3 == 0, F.concat(F.lit("203.0.113."), octet))
         .otherwise(F.concat(F.lit("10.0.0."), octet))
@@ -69,7 +70,12 @@ def flows(events: DataFrame) -> DataFrame:
         .otherwise(F.lit("PortScan"))
         .alias("label"),
         _choose(event % 4, dict(enumerate(SOURCES[:-1])), SOURCES[-1]).alias("source_name"),
-    )
+    ]
+
+
+def flows(events: DataFrame) -> DataFrame:
+    """Flow records with raw text fields: the input of every normaliser test."""
+    return events.select(*_flow_columns())
 
 
 def flow_view(spark: SparkSession, folder: str) -> DataFrame:

@@ -73,8 +73,7 @@ def payload_rows(spark: SparkSession, root: str, json_lines: bool = False, patte
     """
     files = payload_files(spark, root, pattern)
     # Paths come back percent-encoded where they hold special characters.
-    reader = spark.read if json_lines else spark.read.option("wholetext", True)
-    text = reader.text([unquote(f) for f in files]).select("value", F.col("_metadata.file_path").alias("path"))
+    text = spark.read.text([unquote(f) for f in files], wholetext=not json_lines).select("value", F.col("_metadata.file_path").alias("path"))
     start = F.instr(F.lower("path"), F.lit(root.rstrip("/").lower()))
     below = F.lower(F.substr("path", start + F.lit(len(root.rstrip("/")))))
     label = F.when(F.contains(below, F.lit("legitimate")), 0).otherwise(1)
@@ -97,7 +96,7 @@ INFERENCE_INDEX = "index"
 
 def _shape(spark: SparkSession, path: str) -> str:
     """Shape of an inference file from its first characters."""
-    head = spark.read.option("wholetext", True).text(path).select(F.ltrim(F.substring("value", 1, 4096)).alias("head"))
+    head = spark.read.text(path, wholetext=True).select(F.ltrim(F.substring("value", 1, 4096)).alias("head"))
     row = head.filter(F.col("head") != "").first()
     start = (row.head if row else "").replace(" ", "").replace("\n", "").replace("\t", "").replace("\r", "")
     if start.startswith("{"):
@@ -116,7 +115,7 @@ def inference_json(spark: SparkSession, path: str) -> DataFrame:
     Columns are text, or null where a record lacks the field.
     """
     shape = _shape(spark, path)
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     if shape == "payloads":
         items = F.posexplode(F.from_json("value", "array<string>"))
         return text.select(items).select(
@@ -128,7 +127,8 @@ def inference_json(spark: SparkSession, path: str) -> DataFrame:
         rows = T.ArrayType(_all_text(field.elementType))
         items = F.from_json("value", T.StructType([T.StructField("records", rows)]))["records"]
     elif shape == "object":
-        items = F.array(F.from_json("value", _all_text(inferred)))
+        listed = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+        items = F.from_json(listed, T.ArrayType(_all_text(inferred)))
     else:
         items = F.from_json("value", T.ArrayType(_all_text(inferred)))
     return text.select(F.posexplode(items)).select(F.col("pos").cast("long").alias(INFERENCE_INDEX), "col.*")
