@@ -206,12 +206,12 @@ def _map(
     carried = list(dict.fromkeys([*keep, *EVENT_COLUMNS]))
     return flatten(events, event.all_paths, carried).select(
         *[F.col(name) for name in keep],
-        *[column.alias(name) for name, column in record.items()],
+        *[once(column).alias(name) for name, column in record.items()],
         F.coalesce(event.text("@timestamp"), F.lit("")).alias("event_timestamp"),
         F.lit(source_type).alias("source_type"),
         F.coalesce(F.col("_index"), F.lit("")).alias("source_index"),
         F.coalesce(F.col("_id"), F.lit("")).alias("source_id"),
-        *[column.alias(name) for name, column in context.items()],
+        *[once(column).alias(name) for name, column in context.items()],
         F.col("_source").alias("original_event"),
     )
 
