@@ -204,15 +204,19 @@ def _map(
 ) -> DataFrame:
     """Record columns, ``event_timestamp``, ``source_type``, ids, context columns and ``_source``."""
     carried = list(dict.fromkeys([*keep, *EVENT_COLUMNS]))
+    values = {
+        **record,
+        "event_timestamp": F.coalesce(event.text("@timestamp"), F.lit("")),
+        "source_type": F.lit(source_type),
+        "source_index": F.coalesce(F.col("_index"), F.lit("")),
+        "source_id": F.coalesce(F.col("_id"), F.lit("")),
+        **context,
+    }
+    # The generator is a fence: neither a later filter nor the planner's search for the origin of a join
+    # key unfolds the mapping expressions, which takes seconds on every plan.
+    row = F.struct(*[column.alias(name) for name, column in values.items()])
     return flatten(events, event.all_paths, carried).select(
-        *[F.col(name) for name in keep],
-        *[once(column).alias(name) for name, column in record.items()],
-        F.coalesce(event.text("@timestamp"), F.lit("")).alias("event_timestamp"),
-        F.lit(source_type).alias("source_type"),
-        F.coalesce(F.col("_index"), F.lit("")).alias("source_index"),
-        F.coalesce(F.col("_id"), F.lit("")).alias("source_id"),
-        *[once(column).alias(name) for name, column in context.items()],
-        F.col("_source").alias("original_event"),
+        *[F.col(name) for name in keep], F.inline(F.array(row)), F.col("_source").alias("original_event")
     )
 
 

@@ -44,8 +44,12 @@ def primary_view() -> dict[str, Column]:
 
 
 def with_text(frame: DataFrame) -> DataFrame:
-    """Decode the URI once; everything downstream reads the decoded column."""
-    return frame.withColumn(TEXT, text.request_text(F.col("uri")))
+    """Decode the URI once; everything downstream reads the decoded column.
+
+    ``explode`` of one value is a fence, see ``events``: the keys derived from the text stay short for
+    the planner.
+    """
+    return frame.withColumn(TEXT, F.explode(F.array(text.request_text(F.col("uri")))))
 
 
 @built_once
@@ -69,7 +73,8 @@ def web_view() -> dict[str, Column]:
 def with_web_text(frame: DataFrame, uri: str, wanted: Column) -> DataFrame:
     """The payload text of rows that need a web view, empty for the others."""
     payload = F.when(wanted, text.payload_text(text.as_text(F.col(uri)))).otherwise(F.lit(""))
-    return frame.withColumn(WEB_URI, payload).withColumn(WEB_TEXT, text.request_text(F.col(WEB_URI)))
+    frame = frame.withColumn(WEB_URI, F.explode(F.array(payload)))
+    return frame.withColumn(WEB_TEXT, F.explode(F.array(text.request_text(F.col(WEB_URI)))))
 
 
 VIEWS = {"primary": primary_view, "web": web_view}
