@@ -47,7 +47,7 @@ def targets(sources: DataFrame, weights: Sequence[float], share: float, max_epoc
         .withColumn("budget", F.lit(float(share)) * F.sum("source_size").over(whole))
         .withColumn("level", (F.col("budget") - F.col("caps_below")) / F.col("weight_left"))
         .withColumn("level", F.when(F.col("level") <= F.col("filled_at"), F.col("level")))
-        .withColumn("level", F.min("level").over(whole))
+        .withColumn("level", F.max("level").over(whole))
     )
     return rows.select(
         "source",
@@ -93,19 +93,18 @@ def mix(
         .withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_size"))
     )
     below = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    goals = goals.withColumnRenamed("source", "plan_source")
     summed = cells.withColumn("below", F.coalesce(F.sum("cell").over(below), F.lit(0)))
-    same = summed["source"].eqNullSafe(goals["source"])
     cut = (
-        summed.join(goals, same)
+        summed.join(goals, F.col("source").eqNullSafe(F.col("plan_source")))
         .filter((F.col("below") <= F.col("rest")) & (F.col("rest") < F.col("below") + F.col("cell")))
-        .select(goals["source"], goals["source_size"], "target", "epochs", F.col("bucket").alias("cut"), (F.col("rest") - F.col("below")).alias("left"))
+        .select("plan_source", "source_size", "target", "epochs", F.col("bucket").alias("cut"), (F.col("rest") - F.col("below")).alias("left"))
     )
     empty = goals.filter("source_size = 0").select(
-        "source", "source_size", "target", "epochs", F.lit(-1).cast("long").alias("cut"), F.lit(0).cast("long").alias("left")
+        "plan_source", "source_size", "target", "epochs", F.lit(-1).cast("long").alias("cut"), F.lit(0).cast("long").alias("left")
     )
     plan = checkpoint_table(cut.unionByName(empty), "mix-plan")
-    plan = bounded_broadcast(plan.withColumnRenamed("source", "plan_source"), MAX_BROADCAST_SOURCES)
-    rows = sized.join(plan, sized["source"].eqNullSafe(plan["plan_source"]))
+    rows = sized.join(bounded_broadcast(plan, MAX_BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("plan_source")))
     aside = rows.filter(F.col("bucket") != F.col("cut")).withColumn(
         "taken", F.col("size") * (F.col("epochs") + (F.col("bucket") < F.col("cut")).cast("long"))
     )

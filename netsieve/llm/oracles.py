@@ -26,7 +26,7 @@ WITH sized AS (
   FROM weighed a
 ), goal AS (
   SELECT source, source_size,
-         least(cap, coalesce((SELECT min(level) FROM leveled WHERE level <= filled_at) * w, cap)) AS target
+         least(cap, coalesce((SELECT max(level) FROM leveled WHERE level <= filled_at) * w, cap)) AS target
   FROM leveled
 ), plan AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(round(target) AS BIGINT) // source_size ELSE 0 END AS epochs FROM goal
