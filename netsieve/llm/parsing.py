@@ -27,6 +27,7 @@ WINDOW = 50
 GRAM = 20
 TRIGGER = 4
 MODULUS = 11
+SHARD_BYTES = R.SHARD_BYTES // 2  # runs of bytes are far more than runs of words
 SORT_BYTES = 2 << 20
 ANCHORS, EARLIER, FORMS, SORTED = 1, 2, 3, 4
 
@@ -212,7 +213,7 @@ def sort_forms(window: int):
 
 
 def repeated_substrings(
-    documents: DataFrame, window: int = WINDOW, gram: int = GRAM, key: str = "doc_id", text: str = "text", shard_bytes: int = R.SHARD_BYTES, with_text: bool = True
+    documents: DataFrame, window: int = WINDOW, gram: int = GRAM, key: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES, with_text: bool = True
 ) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``with_text``, kept (the bytes that stay) of every document.
 
@@ -221,8 +222,7 @@ def repeated_substrings(
     earlier than another; empty table: no rows.
     """
     shards = R.shard_count(documents, text, shard_bytes)
-    buckets = R.bucket_count(shards)
-    sorters = buckets * 8
+    buckets = sorters = R.bucket_count(shards, 2)
     grouped = R.by_shard(documents, key, text, shards).groupBy("shard")
 
     def opened(table: pa.Table, replies: pa.Table) -> tuple[ShardBytes, Found]:

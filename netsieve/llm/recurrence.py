@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHARD_BYTES = 8 << 20
-PIECE = 1 << 19
+PIECE = 1 << 17  # so that the arrays of a piece stay in the cache
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 POSITION = np.uint64(0xFFFFFFFF)
@@ -169,8 +169,9 @@ def by_shard(documents: DataFrame, key: str, text: str, shards: int) -> DataFram
     return rows.repartition("shard")
 
 
-def bucket_count(shards: int) -> int:
-    return max(24, shards // 8)
+def bucket_count(shards: int, shards_each: int = 8) -> int:
+    """Buckets that get as many hashes as ``shards_each`` shards name."""
+    return max(24, shards // shards_each)
 
 
 def buckets_of(hashes: np.ndarray, n: int) -> np.ndarray:
