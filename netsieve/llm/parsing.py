@@ -28,7 +28,7 @@ GRAM = 20
 TRIGGER = 4
 MODULUS = 11
 SHARD_BYTES = R.SHARD_BYTES // 2  # runs of bytes are far more than runs of words
-SORT_BYTES = 2 << 20
+SORT_BYTES = 1 << 18
 ANCHORS, EARLIER, FORMS, SORTED = 1, 2, 3, 4
 
 
