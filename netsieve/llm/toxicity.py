@@ -28,8 +28,8 @@ from netsieve.operators.sizing import checkpoint_table
 
 MAX_TRAIN = 3000
 STRETCH = 6
-LEAST_COUNT = 30  # occurrences from which a pair of symbols counts as such; rarer ones fall back
-LEAST_KINDS = 8  # different words before it from which a symbol has a probability of its own
+LEAST_COUNT = 60  # occurrences from which a pair of symbols counts as such; rarer ones fall back
+LEAST_KINDS = 5  # different words before it from which a symbol has a probability of its own
 FREQUENT = 20  # occurrences in the training texts from which a word is a symbol of its own
 HEAD = 5
 THRESHOLD = 0.7
