@@ -67,7 +67,7 @@ SQL_KEYWORD_PATTERN = (
     r"\b(select|union(?:\s+all)?|insert|update|delete|drop|sleep|benchmark|waitfor|exec(?:ute)?|"
     r"declare|cast|convert|having|order\s+by|group\s+by|information_schema|load_file|outfile|"
     r"xp_cmdshell|dbms_[a-z_]+|pg_sleep|ascii\(|substring\(|concat\(|char\(|chr\(|hex\(|unhex\(|"
-    r"database\(|schema\(|table_name|column_name)\b"
+    r"database\(|schema\(|table_name|column_name)"
 )
 SQL_TAUTOLOGY_PATTERN = (
     r"(?:\b(?:or|and|xor)\b\s+['\"`\(]*[a-z0-9_]+['\"`]*\s*=\s*['\"`]*[a-z0-9_]+['\"`]*)"

@@ -12,6 +12,32 @@ from ..operators import events as mappers
 from . import telemetry as view
 
 
+class literal:
+    """Values of the rules, written out here so that a wrong constant of the library shows as a difference."""
+
+    BENIGN_WORDS = ["benign", "normal", "legitimate", "allow", "allowed", "clean", "successful"]
+    MALICIOUS_WORDS = [
+        "attack", "malicious", "sqli", "sql injection", "xss", "brute", "dos", "ddos", "portscan",
+        "scan", "bot", "infiltration", "exploit", "fuzzer", "reconnaissance", "backdoor", "shellcode",
+        "worm", "generic", "deny", "denied", "blocked", "anomaly", "abnormal",
+    ]
+    SQL_KEYWORD_PATTERN = (
+        r"\b(select|union(?:\s+all)?|insert|update|delete|drop|sleep|benchmark|waitfor|exec(?:ute)?|declare|cast|convert|"
+        r"having|order\s+by|group\s+by|information_schema|load_file|outfile|xp_cmdshell|dbms_[a-z_]+|pg_sleep|"
+        r"ascii\(|substring\(|concat\(|char\(|chr\(|hex\(|unhex\(|database\(|schema\(|table_name|column_name)"
+    )
+    SQL_TAUTOLOGY_PATTERN = r"(?:\b(?:or|and|xor)\b\s+['\"`\(]*[a-z0-9_]+['\"`]*\s*=\s*['\"`]*[a-z0-9_]+['\"`]*)"
+    SQL_COMMENT_PATTERN = r"(--|#|/\*|\*/|;)"
+    SQL_ENCODED_META_PATTERN = r"(%27|%22|%23|%2d%2d|%3b|%2f\*|\*/|%3d|%28|%29)"
+    XSS_KEYWORD_PATTERN = (
+        r"(<script|</script|javascript:|vbscript:|data:text/html|alert\(|document\.cookie|window\.location|<img|<svg|<iframe|<body)"
+    )
+    XSS_EVENT_HANDLER_PATTERN = r"(on[a-z]+\s*=)"
+    XSS_SCRIPT_TAG_PATTERN = r"(<script|</script|%3cscript|%3c/script)"
+    WEB_PORTS = [80, 443, 8080, 8443]
+    PRIVATE_IP_PATTERN = r"^(10\.|127\.|192\.168\.|172\.(1[6-9]|2[0-9]|3[0-1])\.)"
+
+
 def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -50,8 +76,8 @@ def protocol_sql(column: str) -> str:
 
 def words_sql(column: str) -> str:
     text = f"lower(trim({column}, {WS}))"
-    bad = " OR ".join(f"contains({text}, {q(w)})" for w in fixed.MALICIOUS_WORDS)
-    good = " OR ".join(f"contains({text}, {q(w)})" for w in fixed.BENIGN_WORDS)
+    bad = " OR ".join(f"contains({text}, {q(w)})" for w in literal.MALICIOUS_WORDS)
+    good = " OR ".join(f"contains({text}, {q(w)})" for w in literal.BENIGN_WORDS)
     return f"CASE WHEN {bad} THEN 1 WHEN {good} THEN 0 WHEN {number_sql(column)} > 0 THEN 1 ELSE 0 END"
 
 
@@ -134,13 +160,13 @@ def text_sql(text: str) -> dict[str, str]:
         "uri_angle_bracket_count": chars(text, "[<>]"),
         "uri_has_query_string": f"CAST(contains({text}, '?') AS INT)",
         "uri_has_percent_encoding": f"CAST(regexp_matches({text}, '%[0-9a-fA-F]{{2}}') AS INT)",
-        "uri_sql_keyword_hits": hits(text, fixed.SQL_KEYWORD_PATTERN),
-        "uri_sql_tautology_hits": hits(text, fixed.SQL_TAUTOLOGY_PATTERN),
-        "uri_sql_comment_hits": hits(text, fixed.SQL_COMMENT_PATTERN),
-        "uri_sql_encoded_meta_hits": hits(lower, fixed.SQL_ENCODED_META_PATTERN),
-        "uri_xss_keyword_hits": hits(text, fixed.XSS_KEYWORD_PATTERN),
-        "uri_xss_event_handler_hits": hits(text, fixed.XSS_EVENT_HANDLER_PATTERN),
-        "uri_xss_script_tag_hits": hits(lower, fixed.XSS_SCRIPT_TAG_PATTERN),
+        "uri_sql_keyword_hits": hits(text, literal.SQL_KEYWORD_PATTERN),
+        "uri_sql_tautology_hits": hits(text, literal.SQL_TAUTOLOGY_PATTERN),
+        "uri_sql_comment_hits": hits(text, literal.SQL_COMMENT_PATTERN),
+        "uri_sql_encoded_meta_hits": hits(lower, literal.SQL_ENCODED_META_PATTERN),
+        "uri_xss_keyword_hits": hits(text, literal.XSS_KEYWORD_PATTERN),
+        "uri_xss_event_handler_hits": hits(text, literal.XSS_EVENT_HANDLER_PATTERN),
+        "uri_xss_script_tag_hits": hits(lower, literal.XSS_SCRIPT_TAG_PATTERN),
         "uri_special_char_ratio": f"{chars(text, '[^A-Za-z0-9/_.-]')}::DOUBLE / (length({text}) + 1)",
     }
 
@@ -158,8 +184,8 @@ def share(above: str, below: str) -> str:
     return f"{above}::DOUBLE / greatest(({below})::DOUBLE, 1e-9)"
 
 
-WEB = "(" + ", ".join(map(str, fixed.WEB_PORTS)) + ")"
-PRIVATE = q(fixed.PRIVATE_IP_PATTERN)
+WEB = "(" + ", ".join(map(str, literal.WEB_PORTS)) + ")"
+PRIVATE = q(literal.PRIVATE_IP_PATTERN)
 RECORD_SQL = {
     "src_port": "src_port",
     "dst_port": "dst_port",
@@ -492,7 +518,7 @@ def mapper_query(rules: str, names: list[str] | None = None) -> str:
 
 def suspicious_sql(uri: str) -> str:
     names = ["SQL_KEYWORD", "SQL_TAUTOLOGY", "SQL_COMMENT", "SQL_ENCODED_META", "XSS_KEYWORD", "XSS_EVENT_HANDLER"]
-    tests = " OR ".join(f"regexp_matches({uri}, {q('(?i)' + getattr(fixed, n + '_PATTERN'))})" for n in names)
+    tests = " OR ".join(f"regexp_matches({uri}, {q('(?i)' + getattr(literal, n + '_PATTERN'))})" for n in names)
     return f"({tests})"
 
 
