@@ -6,20 +6,23 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SMALL_ROWS = 10_000
 
+_local_folders: dict[str, str] = {}
+
 
 def small_table(frame: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
-    """The table as a local relation of known size, or None if it has more than ``max_rows`` rows.
+    """The table as a local relation marked for broadcast, or None if it has more than ``max_rows`` rows.
 
     Meant for aggregates that are expected to be tiny. At most ``max_rows + 1`` rows reach the
-    driver; the planner then knows the exact size and broadcasts on its own.
+    driver. The mark makes a join with it leave the other side where it is.
     """
     rows = frame.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return None
-    return frame.sparkSession.createDataFrame(rows, frame.schema)
+    return F.broadcast(frame.sparkSession.createDataFrame(rows, frame.schema))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,9 +34,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="netsieve-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="netsieve-")
+    return _local_folders[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

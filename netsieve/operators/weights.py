@@ -40,7 +40,7 @@ def weight_cells(frame: DataFrame) -> DataFrame:
 
 
 def with_sample_weights(frame: DataFrame, cells: DataFrame | None = None, name: str = "weight") -> DataFrame:
-    """Add the weight of each row. The cell table is a checked local relation, so no row moves."""
+    """Add the weight of each row. The cell table is broadcast if it is small, so no row moves."""
     cells = weight_cells(frame) if cells is None else cells
     table = small_table(cells) or cells
     table = table.select(

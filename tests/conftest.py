@@ -15,10 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from oracle_check import session
 
-    spark = session("4")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="netsieve-test-"))
-    return spark
+    return session("4")
 
 
 @pytest.fixture(scope="session")

@@ -143,3 +143,20 @@ def test_default_row_key_is_the_whole_record(unified):
 def test_weights_average_to_one(unified):
     row = weights.with_sample_weights(unified).agg(F.avg("weight").alias("w"), F.count("*").alias("n")).first()
     assert row.w == pytest.approx(1.0, abs=1e-5) and row.n == unified.count()
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_split_and_weights_move_no_wide_row(spark, adaptive):
+    """The wide table meets only broadcast tables: no exchange stands between its scan and the result."""
+    frame = spark.range(2000).select(
+        "id", (F.col("id") % 2).cast("int").alias("label"), F.concat(F.lit("s"), (F.col("id") % 4).cast("string")).alias("source_name"), F.lit("wide").alias("payload")
+    )
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        for out in (split.stratified_split(frame, ["id"]), split.selection_subset(frame, ["id"], limit=500), weights.with_sample_weights(frame)):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan, plan
+            assert "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
