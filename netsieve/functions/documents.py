@@ -67,6 +67,14 @@ def leaf(json_text: Column, path: str) -> Column:
     return F.get(flatten_document(json_text, [path]), F.lit(0))["text"]
 
 
+def any_value(json_text: Column, path: str, wanted: str) -> Column:
+    """Whether the value at a dotted path, nested or spelled as one key, is ``wanted``, or is a list that holds it."""
+    document = F.try_parse_json(json_text)
+    places = ["$." + path, f"$['{path}']"]
+    in_list = [F.array_contains(F.try_variant_get(document, place, "array<string>"), wanted) for place in places]
+    return F.coalesce(leaf(json_text, path) == wanted, F.lit(False)) | F.coalesce(*in_list, F.lit(False))
+
+
 def first_present(*values: Column, default: str | None = "") -> Column:
     """The first value that is neither null nor empty. ``0`` and ``false`` count as present."""
     candidates = [F.nullif(value, F.lit("")) for value in values]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fixed
 
 BOOSTED, FOREST = "boosted_trees", "random_forest"
-BINS = 128
+BINS = 256  # histogram bins of a feature, the usual default of histogram trainers
 
 
 def boosted_trees(

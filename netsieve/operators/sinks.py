@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,10 +87,14 @@ def feature_list(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "position int, name string")
 
 
-def append_batch(folder: str):
-    """A ``foreachBatch`` writer that repeats safely: a batch always owns the same subfolder."""
+def append_batch(folder: str, checkpoint: str):
+    """A ``foreachBatch`` writer that repeats safely: a batch owns its subfolder below that of its stream.
+
+    A stream is known by its checkpoint, so streams of several sources, or one begun anew, add to the same table.
+    """
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{folder}/stream={stream}/batch_id={batch_id}")
 
     return write

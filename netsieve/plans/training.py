@@ -122,7 +122,8 @@ def train(
     model = models.fit_model(best.estimator(), final_features, best.weight(*_class_totals(fitted_rows)))
 
     test_features = feature_table(part[TEST], state, [])
-    scored_test = models.with_prediction(models.with_probability(test_features, model))
+    # Stored, since three tables read it and the model is dear.
+    scored_test = checkpoint_table(models.with_prediction(models.with_probability(test_features, model)), "scored-test")
     evaluation = evaluation_tables(scored_test, model)
 
     sinks.write_model(model, best.name, artifacts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.documents import leaf
+from ..functions.documents import any_value, leaf
 from ..functions.text import once
 
 EVENT_SCHEMA = "_index string, _id string, _source string"
@@ -33,11 +33,9 @@ def event_timestamp() -> Column:
 
 
 def ids_alerts(events: DataFrame) -> DataFrame:
-    """Alerts of the intrusion detection module. The text test skips most other documents unparsed."""
+    """Alerts of the intrusion detection module. Of a list of values any one counts."""
     document = F.col("_source")
-    return events.filter(F.contains("_source", F.lit("suricata"))).filter(
-        (leaf(document, "event.module") == "suricata") & (leaf(document, "event.kind") == "alert")
-    )
+    return events.filter(any_value(document, "event.module", "suricata") & any_value(document, "event.kind", "alert"))
 
 
 def with_timestamp(events: DataFrame) -> DataFrame:

@@ -95,17 +95,14 @@ INFERENCE_INDEX = "index"
 
 
 def _shape(spark: SparkSession, path: str) -> str:
-    """Shape of an inference file from its first characters."""
-    head = spark.read.text(path, wholetext=True).select(F.ltrim(F.substring("value", 1, 4096)).alias("head"))
-    row = head.filter(F.col("head") != "").first()
-    start = (row.head if row else "").replace(" ", "").replace("\n", "").replace("\t", "").replace("\r", "")
-    if start.startswith("{"):
-        return "object"
-    if start.startswith("[{"):
-        return "objects"
-    if start.startswith("["):
-        return "payloads"
-    raise ValueError("input must be a JSON object, a list of objects, or a list of payload strings")
+    """Shape of the inference files of a path, which must agree: what the text opens with, however much space is before it."""
+    opening = F.regexp_extract("value", r"^[\s\x{FEFF}]*(\{|\[\s*\{|\[)", 1)
+    text = spark.read.text(path, wholetext=True).filter(F.trim("value") != "")
+    found = {row.opening for row in text.select(F.regexp_replace(opening, r"\s", "").alias("opening")).distinct().limit(5).collect()}
+    shapes = {"{": "object", "[{": "objects", "[": "payloads"}
+    if len(found) != 1 or not found <= shapes.keys():
+        raise ValueError("input must be a JSON object, a list of objects, or a list of payload strings")
+    return shapes[found.pop()]
 
 
 def inference_json(spark: SparkSession, path: str) -> DataFrame:

@@ -23,14 +23,13 @@ def deduplicate(events: DataFrame, lateness: str = DEFAULT_LATENESS) -> DataFram
     """Drop repeats of an event, and events later than ``lateness``.
 
     Needs ``timestamp`` (text), ``_index`` and ``_id``. The same id at another time is another event,
-    so the time is part of the key; only that window of keys is kept as state.
+    so the time is part of the key; only that window of keys is kept as state. Events without a valid
+    time go round the watermark and are not deduplicated: no state could ever be dropped for them.
     """
-    timed = events.withColumn("event_time", F.date_trunc("millisecond", F.to_timestamp("timestamp")))
-    return (
-        timed.withWatermark("event_time", lateness)
-        .dropDuplicates(["_index", "_id", "timestamp", "event_time"])
-        .drop("event_time")
-    )
+    event_time = F.date_trunc("millisecond", F.try_to_timestamp("timestamp"))
+    timed = events.filter(event_time.isNotNull()).withColumn("event_time", event_time)
+    fresh = timed.withWatermark("event_time", lateness).dropDuplicates(["_index", "_id", "timestamp", "event_time"])
+    return fresh.drop("event_time").unionByName(events.filter(event_time.isNull()))
 
 
 def deduplicate_batch(events: DataFrame) -> DataFrame:
@@ -92,7 +91,7 @@ def to_alert_table(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Parquet table of scored records; a repeated batch replaces its own part."""
-    writer = only_alerts(records, alerts_only).writeStream.foreachBatch(append_batch(folder))
+    writer = only_alerts(records, alerts_only).writeStream.foreachBatch(append_batch(folder, checkpoint))
     writer = writer.option("checkpointLocation", checkpoint)
     return _once(writer, available_now, interval).start()
 
@@ -107,7 +106,7 @@ def to_outbox(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Notification texts of the chosen records."""
-    writer = outbox(chosen(records), text).writeStream.foreachBatch(append_batch(folder))
+    writer = outbox(chosen(records), text).writeStream.foreachBatch(append_batch(folder, checkpoint))
     return _once(writer.option("checkpointLocation", checkpoint), available_now, interval).start()
 
 

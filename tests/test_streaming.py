@@ -108,8 +108,31 @@ def test_alert_table_and_outbox_equal_the_batch_result(spark, small, folder, fit
 def test_repeated_batch_replaces_itself(spark, folder):
     from netsieve.operators.sinks import append_batch
 
-    write = append_batch(f"{folder}/table")
+    write = append_batch(f"{folder}/table", "checkpoint-a")
     write(spark.range(3), 0)
     write(spark.range(3), 0)
     write(spark.range(2), 1)
-    assert spark.read.parquet(f"{folder}/table").count() == 5
+    append_batch(f"{folder}/table", "checkpoint-b")(spark.range(4), 0)
+    assert spark.read.parquet(f"{folder}/table").count() == 9
+
+
+def test_events_without_a_time_do_not_stop_the_stream(spark, folder):
+    rows = [("i", "1", '{"@timestamp":"2024-01-01T00:00:00Z"}'), ("i", "1", '{"@timestamp":"2024-01-01T00:00:00Z"}'), ("i", "2", "{}"), ("i", "3", '{"@timestamp":"soon"}')]
+    spark.createDataFrame(rows, "_index string, _id string, _source string").coalesce(1).write.json(f"{folder}/in")
+    from netsieve.sources.events import event_stream, with_timestamp
+
+    fresh = jobs.deduplicate(with_timestamp(event_stream(spark, f"{folder}/in")))
+    jobs.to_json_files(fresh, f"{folder}/out", f"{folder}/c", available_now=True).awaitTermination(180)
+    assert sorted(r._id for r in spark.read.json(f"{folder}/out").collect()) == ["1", "2", "3"]
+
+
+def test_alerts_of_any_list_element(spark):
+    from netsieve.sources.events import ids_alerts
+
+    documents = [
+        '{"event":{"module":"suricata","kind":"alert"}}', '{"event":{"module":["zeek","suricata"],"kind":"alert"}}',
+        '{"event":{"module":"\\u0073uricata","kind":["alert"]}}', '{"event.module":"suricata","event.kind":"alert"}',
+        '{"event":{"module":"zeek","kind":"alert"},"note":"suricata"}', "{}",
+    ]
+    frame = spark.createDataFrame([("i", str(k), d) for k, d in enumerate(documents)], "_index string, _id string, _source string")
+    assert sorted(r._id for r in ids_alerts(frame).collect()) == ["0", "1", "2", "3"]
