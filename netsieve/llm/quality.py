@@ -3,6 +3,7 @@
 A line fails if
 - punctuation: symbol marks or doubled sentence marks hang on at least ``SYMBOL_SHARE`` of its words;
 - navigation: separators (bars, arrows, bullets) are at least ``NAVIGATION_SHARE`` of its words;
+- repetition: at least ``STUTTER_SHARE`` of its words repeat the word before;
 - boilerplate: it is short and holds a phrase of the kind that sites repeat on each page, or an earlier line of the document was equal.
 A document is rejected if the failing lines hold more than ``LOST_SHARE`` of its words.
 """
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 # Fixed values of the rules.
 SYMBOL_SHARE = 0.3
 NAVIGATION_SHARE = 0.2
+STUTTER_SHARE = 0.5
 BOILERPLATE_WORDS = 30
 LOST_SHARE = 0.5
 MIN_WORDS = 10
@@ -49,6 +51,8 @@ def line_fails(line: str, words: list[str]) -> bool:
         return True
     if sum(1 for w in words if w in NAVIGATION) >= NAVIGATION_SHARE * n:
         return True
+    if n > 1 and sum(a == b for a, b in zip(words, words[1:], strict=False)) >= STUTTER_SHARE * n:
+        return True
     return n <= BOILERPLATE_WORDS and _PHRASE.search(line) is not None
 
 

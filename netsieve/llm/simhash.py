@@ -230,7 +230,11 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
 
 
 def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with their own columns, of each group only the one with the smallest key; rows with a null key stay."""
-    keep = near_duplicates(documents, key, text).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = documents.join(keep, F.col(f"`{key}`") == F.col("_kept"), "left_semi")
+    """The documents with their own columns, of each group only the one with the smallest key. Rows that repeat key and text are
+    one document; rows with a null key all stay."""
+    groups = near_duplicates(documents, key, text).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    keep = checkpoint_table(groups.select(F.col("doc_id").alias("_kept"), "_rows"), "kept-keys")
+    kept = documents.join(keep.select("_kept"), F.col(f"`{key}`") == F.col("_kept"), "left_semi")
+    if keep.filter("_rows > 1").limit(1).count():  # only then texts are compared
+        kept = kept.dropDuplicates([key, text])
     return kept.unionByName(documents.filter(F.col(f"`{key}`").isNull()))

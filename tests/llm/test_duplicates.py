@@ -55,6 +55,16 @@ def test_one_of_each_keeps_columns(documents):
     assert sorted(r.doc_id for r in out.collect()) == sorted(firsts)
 
 
+def test_one_of_each_of_odd_rows(odd, empty):
+    prints = [(i, brute_fingerprint(t)) for i, t, _ in odd_rows()]
+    ids = brute_components(prints)
+    kept = {(i, t) for (i, t, _), (_, p) in zip(odd_rows(), prints, strict=True) if i is not None and ids[p] == i}
+    out = simhash.one_of_each(odd).collect()
+    assert Counter((r.doc_id, r.text) for r in out if r.doc_id is not None) == Counter(kept)
+    assert sum(r.doc_id is None for r in out) == sum(i is None for i, *_ in odd_rows())
+    assert simhash.one_of_each(empty).count() == 0
+
+
 def near_numbers(n: int, flips: int, seed: int = 0) -> np.ndarray:
     rng = np.random.default_rng(seed)
     base = rng.integers(0, 1 << 63, max(1, n // 4), dtype=np.uint64)

@@ -65,6 +65,7 @@ PLAIN = "Most of the river runs through a narrow valley with old farms on both o
         ("Home | News | Sport | Contact | Login | Cart | Help | Terms | Map | About | More | End\n" * 1 + "Short line here.", False),
         ("BUY!! NOW!! BEST!! PRICES!! ONLY!! TODAY!! CALL!! US!! FREE!! GIFTS!! WOW!! YES!!", False),
         ("The$$$ river%%% runs### through&&& a*** narrow$$$ valley%%% with### old&&& farms*** on$$$ banks%%%", False),
+        ("Over over over over hill hill hill hill river river river river stone stone stone stone.", False),
         ("one two three", False),
         (None, False),
     ],
