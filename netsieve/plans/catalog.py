@@ -96,22 +96,31 @@ def _a1(spark, folder):
     return plain_record(unify.union_sources(*parts))
 
 
-def _read_back(spark, folder, view, name):
+def _read_back(spark, folder, view, name, renamed=lambda c: c):
+    """The view from CSV files with two headers, one with the columns in reverse order and under other spellings."""
     raw = view(telemetry.flow_view(spark, folder))
-    path = _written(spark, raw, name, lambda f, p: f.write.option("header", True).option("escape", '"').csv(p))
-    frame = files.read_csv_directory(spark, path)
-    return frame.withColumn("event_id", F.col("event_id").cast("long"))
+
+    def write(frame, path):
+        even = F.col("event_id") % 2 == 0
+        odd = frame.filter(~even)
+        odd = odd.select(*[F.col(f"`{c}`").alias(c if c == "event_id" else renamed(c)) for c in reversed(odd.columns)])
+        for part in (frame.filter(even), odd):
+            part.write.mode("append").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).csv(path)
+
+    parts = files.read_csv_directory(spark, _written(spark, raw, name, write))
+    return [part.withColumn("event_id", F.col("event_id").cast("long")) for part in parts]
 
 
 @register("a2_flow_csv_source", sql.flow_csv_sql(sql.words_sql("label")))
 def _a2(spark, folder):
-    return plain_record(unify.unify_flow_csv(_read_back(spark, folder, telemetry.flow_csv_view, "flowcsv"), keep=["event_id"]))
+    parts = _read_back(spark, folder, telemetry.flow_csv_view, "flowcsv", lambda c: f" {c.upper()}")
+    return plain_record(unify.union_sources(*[unify.unify_flow_csv(part, keep=["event_id"]) for part in parts]))
 
 
 @register("a3_firewall_csv_source", sql.firewall_sql())
 def _a3(spark, folder):
-    frame = _read_back(spark, folder, telemetry.firewall_view, "firewallcsv")
-    return plain_record(unify.unify_firewall_log(frame, keep=["event_id"]))
+    parts = _read_back(spark, folder, telemetry.firewall_view, "firewallcsv")
+    return plain_record(unify.union_sources(*[unify.unify_firewall_log(part, keep=["event_id"]) for part in parts]))
 
 
 def _payload_folder(spark, folder) -> str:

@@ -18,19 +18,24 @@ def flow_parquet(spark: SparkSession, *paths: str, label_mode: str = "keywords")
     return union_sources(*[unify_flow_table(spark.read.parquet(path), label_mode=label_mode) for path in paths])
 
 
-def read_csv_directory(spark: SparkSession, folder: str) -> DataFrame:
-    """All ``*.csv`` of a folder as text columns. Bad bytes become U+FFFD, null words become null."""
+def read_csv_directory(spark: SparkSession, folder: str, multi_line: bool = False) -> list[DataFrame]:
+    """All ``*.csv`` of a folder as text columns, one frame for each header that occurs. Bad bytes become U+FFFD, null words become null.
+
+    Files may differ in names and order of their columns: the header of each is read on its own (its first line, a
+    short job for each file), and files with the same header are read together. ``multi_line`` keeps line breaks inside quotes;
+    a file is then one task, so it is for files of moderate size.
+    """
     files = _file_names(spark, folder, "*.csv", recursive=False)
     if not files:
         raise FileNotFoundError(f"no CSV files in {folder}")
-    frame = (
-        spark.read.option("header", True)
-        .option("encoding", "UTF-8")
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(sorted(files))
-    )
+    reader = spark.read.options(header=True, encoding="UTF-8", escape='"', enforceSchema=False, multiLine=multi_line)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(unquote(f) for f in files):
+        groups.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    return [_csv_values(reader.csv(same)) for same in groups.values()]
+
 
+def _csv_values(frame: DataFrame) -> DataFrame:
     def value(name: str) -> Column:
         column = F.col("`" + name.replace("`", "``") + "`")
         return F.when(~column.isin(fixed.CSV_NULL_WORDS), column).alias(name)
@@ -38,12 +43,13 @@ def read_csv_directory(spark: SparkSession, folder: str) -> DataFrame:
     return frame.select(*[value(name) for name in frame.columns])
 
 
-def flow_csv(spark: SparkSession, folder: str, label_mode: str = "keywords") -> DataFrame:
-    return unify_flow_csv(read_csv_directory(spark, folder), label_mode=label_mode)
+def flow_csv(spark: SparkSession, folder: str, label_mode: str = "keywords", multi_line: bool = False) -> DataFrame:
+    """Flow records; column names are resolved for each header on its own."""
+    return union_sources(*[unify_flow_csv(part, label_mode=label_mode) for part in read_csv_directory(spark, folder, multi_line)])
 
 
-def firewall_csv(spark: SparkSession, folder: str) -> DataFrame:
-    return unify_firewall_log(read_csv_directory(spark, folder))
+def firewall_csv(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
+    return union_sources(*[unify_firewall_log(part) for part in read_csv_directory(spark, folder, multi_line)])
 
 
 def _file_names(spark: SparkSession, folder: str, pattern: str, recursive: bool) -> list[str]:

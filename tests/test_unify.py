@@ -92,6 +92,23 @@ def test_csv_directory(spark, folder):
     assert {r.label for r in files.flow_csv(spark, folder, label_mode="numeric").collect()} == {0}
 
 
+def test_csv_files_with_different_headers(spark, folder):
+    write(folder, "a.csv", "Source IP,Source Port,Destination Port,Protocol,Flow Duration,Label\n1.2.3.4,7,80,6,2500000,DDoS\n")
+    write(folder, "b.csv", "Label,Src Port,Src IP,Dst Port,Protocol\nBENIGN,9,1.2.3.5,53,17\n")
+    rows = sorted(files.flow_csv(spark, folder).collect(), key=lambda r: r.src_ip)
+    assert [(r.src_ip, r.src_port, r.dst_port, r.label) for r in rows] == [("1.2.3.4", 7, 80, 1), ("1.2.3.5", 9, 53, 0)]
+
+
+def test_line_breaks_inside_quotes(spark, folder):
+    write(folder, "a.csv", 'Src IP,Dst IP,Log subtype,Message,Rule type\n1.1.1.1,2.2.2.2,Allowed,"two\nlines",1\n')
+    assert files.firewall_csv(spark, folder, multi_line=True).count() == 1
+
+
+@pytest.mark.parametrize(("text", "columns"), [("[" + " " * 5000 + '{"src_ip": "1.1.1.1"}]', ["index", "src_ip"]), (" " * 5000 + '["a"]', ["index", "payload"])])
+def test_shape_does_not_depend_on_blanks(spark, folder, text, columns):
+    assert files.inference_json(spark, write(folder, "in.json", text)).columns == columns
+
+
 def test_missing_csv(spark, folder):
     with pytest.raises(FileNotFoundError):
         files.flow_csv(spark, folder)
