@@ -96,16 +96,16 @@ def _a1(spark, folder):
     return plain_record(unify.union_sources(*parts))
 
 
-def _read_back(spark, folder, view, name, renamed=lambda c: c):
+def _read_back(spark, folder, view, name):
     """The view from CSV files with two headers, one with the columns in reverse order and under other spellings."""
     raw = view(telemetry.flow_view(spark, folder))
 
     def write(frame, path):
         even = F.col("event_id") % 2 == 0
         odd = frame.filter(~even)
-        odd = odd.select(*[F.col(f"`{c}`").alias(c if c == "event_id" else renamed(c)) for c in reversed(odd.columns)])
+        odd = odd.select(*[F.col(f"`{c}`").alias(c if c == "event_id" else c.upper()) for c in reversed(odd.columns)])
         for part in (frame.filter(even), odd):
-            part.write.mode("append").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).csv(path)
+            part.write.mode("append").option("header", True).option("escape", '"').csv(path)
 
     parts = files.read_csv_directory(spark, _written(spark, raw, name, write))
     return [part.withColumn("event_id", F.col("event_id").cast("long")) for part in parts]
@@ -113,7 +113,7 @@ def _read_back(spark, folder, view, name, renamed=lambda c: c):
 
 @register("a2_flow_csv_source", sql.flow_csv_sql(sql.words_sql("label")))
 def _a2(spark, folder):
-    parts = _read_back(spark, folder, telemetry.flow_csv_view, "flowcsv", lambda c: f" {c.upper()}")
+    parts = _read_back(spark, folder, telemetry.flow_csv_view, "flowcsv")
     return plain_record(unify.union_sources(*[unify.unify_flow_csv(part, keep=["event_id"]) for part in parts]))
 
 
