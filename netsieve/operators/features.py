@@ -13,7 +13,8 @@ from ..functions.patterns import count_text
 from ..functions.reuse import built_once
 from .lookups import with_lookups
 from .records import VIEWS, with_text
-from .state import MIN_COUNT, FeatureState, fit
+from .sizing import scratch_path
+from .state import MIN_COUNT, FeatureState, fit_to
 
 
 def _single(value: float) -> Column:
@@ -159,8 +160,8 @@ def transform(frame: DataFrame, state: FeatureState, keep: Sequence[str] = ()) -
 
 
 def fit_transform(frame: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Fit on a table and transform the same table: a row counts its own occurrence."""
-    return transform(frame, fit(frame), keep)
+    """Fit on a table and transform the same table: a row counts its own occurrence. The state is written to the shared folder."""
+    return transform(frame, fit_to(frame, scratch_path(frame.sparkSession, "state")), keep)
 
 
 def select_features(frame: DataFrame, names: Sequence[str] = tuple(fixed.FEATURE_NAMES), keep: Sequence[str] = ()) -> DataFrame:

@@ -114,7 +114,7 @@ def count_table(keys: DataFrame, kind: str) -> DataFrame:
 
 
 def fit(frame: DataFrame) -> FeatureState:
-    """Lazy state of a table, for one-off use. Jobs that reuse state call :func:`fit_to`."""
+    """Lazy state of a table, to look at. What looks keys up calls :func:`fit_to`: stored tables have a known size, and hot keys are split off."""
     keys = keyed(frame)
     return FeatureState(
         protocol=category_table(value_counts(keys, "protocol")),

@@ -854,13 +854,93 @@ def _k6(spark, folder):
     return training.evaluate_saved(spark, artifacts)["metrics"]
 
 
+# Facts about fitted models and stored artifacts that SQL can state, whatever trees were grown.
+
+
+def _checked_by(candidate: int) -> Query:
+    """Every row is scored once, within 0 and 1, and decided at the threshold."""
+
+    def query(spark, folder):
+        p, decided = F.col("probability"), F.col("prediction")
+        return _scored_by(candidate)(spark, folder).select(
+            "event_id", "label", p.between(0.0, 1.0).alias("in_range"), (decided == (p >= 0.5).cast("int")).alias("decided")
+        )
+
+    return query
+
+
+_CHECKED_SQL = f"{sql.UNIFIED_CTE} SELECT event_id, CAST(label AS INT) AS label, true AS in_range, true AS decided FROM unified"
+add("k1_k4_boosted_trees_checked", _checked_by(0), _CHECKED_SQL)
+add("k2_k4_random_forest_checked", _checked_by(1), _CHECKED_SQL)
+
+
+def _facts(spark, facts: dict[str, float]) -> DataFrame:
+    return spark.createDataFrame([(name, float(value)) for name, value in facts.items()], "fact string, value double")
+
+
+def _facts_sql(facts: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS fact, CAST({value} AS DOUBLE) AS value" for name, value in facts.items())
+
+
+@register(
+    "k5_h1_h2_importance_checked",
+    _facts_sql({"features": "47", "top": "25", "sum": "1", "falling": "1", "negative": "0", "top_is_head": "1"}),
+)
+def _k5_checked(spark, folder):
+    """Importances of all features sum to 1 and fall; the short list is the head of the long one."""
+    _, model = _fitted(spark, folder, 1)
+    importances = evaluate.model_importances(model, spark)
+    ranked = [tuple(row) for row in evaluate.feature_importance(importances).collect()]  # one row per feature
+    top = [tuple(row) for row in evaluate.feature_importance(importances, 25).collect()]
+    values = [value for _, value in ranked]
+    return _facts(spark, {
+        "features": len({name for name, _ in ranked} & set(fixed.FEATURE_NAMES)), "top": len(top), "sum": round(sum(values), 9),
+        "falling": values == sorted(values, reverse=True), "negative": sum(v < 0 for v in values), "top_is_head": top == ranked[:25],
+    })
+
+
+@register(
+    "k3_k6_a9_a10_b3_b4_b5_artifacts_checked",
+    f"""{_split_sql()}, held AS (SELECT count(*) AS n, count(*) FILTER (WHERE label = 1) AS p FROM parts WHERE split = 'test') """
+    + _facts_sql({
+        "candidates": "2", "selected_is_best": "1", "feature_list": "47", "schema_rows": "(SELECT count(*) FROM unified)",
+        "summary_test_rows": "(SELECT n FROM held)", "test_rows": "(SELECT n FROM held)", "test_positive": "(SELECT p FROM held)",
+        "matrix_rows": "(SELECT n FROM held)", "matrix_positive": "(SELECT p FROM held)", "importance_rows": "47", "top_rows": "25",
+        "report_rows": "(SELECT count(DISTINCT label) + 3 FROM parts WHERE split = 'test')", "same_metrics": "1", "same_scores": "1",
+    }),
+)
+def _artifacts_checked(spark, folder):
+    """Train and select, store everything, load it, evaluate again: sizes by SQL, and the saved model scores as the fitted one did."""
+    artifacts, result = _trained(spark, folder)
+    scores = result.candidate_scores.collect()  # one row per candidate
+    best = max(scores, key=lambda row: (row.f1, row.accuracy, -row.position)).name
+    summary = {(row.section, row.name): row.value for row in spark.read.json(f"{artifacts}/training_summary").collect()}
+    schema = spark.read.json(f"{artifacts}/schema_metadata").filter("section = 'total_rows'").first()
+    loaded = sinks.load_artifacts(spark, artifacts, with_test_split=True)
+    again = training.evaluate_saved(spark, artifacts)
+    held = sinks.read_test_split(spark, artifacts).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("p")).first()
+    matrix = spark.read.schema("actual string, pred_0 long, pred_1 long").option("header", True).csv(f"{artifacts}/confusion_matrix")
+    cells = {row.actual: row.pred_0 + row.pred_1 for row in matrix.collect()}
+    spread_of = [F.round(f(F.col("probability")), 9) for f in (F.min, F.max, F.avg)]
+    return _facts(spark, {
+        "candidates": len(scores), "selected_is_best": best == result.model_name == loaded["model_name"],
+        "feature_list": len(loaded["features"]), "schema_rows": schema.value, "summary_test_rows": summary[("split_rows", "test")],
+        "test_rows": held.n, "test_positive": held.p, "matrix_rows": sum(cells.values()), "matrix_positive": cells["actual_1"],
+        "importance_rows": spark.read.option("header", True).csv(f"{artifacts}/feature_importance").count(),
+        "top_rows": spark.read.json(f"{artifacts}/top_features").count(),
+        "report_rows": spark.read.text(f"{artifacts}/classification_report").count(),
+        "same_metrics": again["metrics"].first() == result.evaluation["metrics"].first(),
+        "same_scores": again["scored"].agg(*spread_of).first() == result.scored_test.agg(*spread_of).first(),
+    })
+
+
 # --- L. inference -----------------------------------------------------------------------------
 
 
 def predicted(spark, folder, keep: list[str]) -> DataFrame:
     """Rule-scored predictions of the unified view."""
     frame = unified(spark, folder)
-    return scoring.predict(frame, state.fit(frame), scoring.rule_scorer, keep)
+    return scoring.predict(frame, _stored_state(spark, folder), scoring.rule_scorer, keep)
 
 
 @register(
@@ -877,7 +957,7 @@ def _l1(spark, folder):
 )
 def _l2(spark, folder):
     frame = unified(spark, folder)
-    scored = scoring.score_both_views(frame, state.fit(frame), scoring.rule_scorer, ["event_id"])
+    scored = scoring.score_both_views(frame, _stored_state(spark, folder), scoring.rule_scorer, ["event_id"])
     return scored.select("event_id", *[F.round(n, 6).alias(n) for n in ("probability", "web_probability")])
 
 
@@ -895,12 +975,13 @@ def _l3(spark, folder):
 @register(
     "l5_b6_prediction_records",
     f"""{sql.SCORED_CTE} SELECT event_id AS "index", prediction, round(malicious_probability, 6) AS malicious_probability, selected_view,
-src_ip, dst_ip, src_port, dst_port, protocol, bytes::DOUBLE AS bytes, http_method, uri FROM predicted JOIN unified USING (event_id)""",
+src_ip, dst_ip, src_port, dst_port, protocol, bytes::DOUBLE AS bytes, packets::DOUBLE AS packets, duration::DOUBLE AS duration, http_method, uri
+FROM predicted JOIN unified USING (event_id)""",
 )
 def _l5(spark, folder):
     """Prediction records written as JSON and read back."""
     frame = unified(spark, folder)
-    records = scoring.prediction_records(frame, state.fit(frame), scoring.rule_scorer, "event_id")
+    records = scoring.prediction_records(frame, _stored_state(spark, folder), scoring.rule_scorer, "event_id")
     path = scratch_path(spark, "predictions")
     sinks.write_predictions(records, path)
     stored = spark.read.schema(records.schema).json(path)
@@ -910,7 +991,7 @@ def _l5(spark, folder):
         "prediction",
         F.round("malicious_probability", 6).alias("malicious_probability"),
         "selected_view",
-        F.col("normalized_record.bytes").cast("double").alias("bytes"),
+        *[F.col(f"normalized_record.{n}").cast("double").alias(n) for n in ("bytes", "packets", "duration")],
         *[F.col(f"normalized_record.{n}").alias(n) for n in nested],
     )
 
@@ -1070,9 +1151,8 @@ def _n3(spark, folder):
 
 
 def _scored_events(spark, folder, rules: str) -> DataFrame:
-    frame = unified(spark, folder)
     mapped = _MAPPERS[rules](spread(telemetry.document_view(spark, folder)), ["event_id"])
-    return alerts.score_events(mapped, state.fit(frame), scoring.rule_scorer)
+    return alerts.score_events(mapped, _stored_state(spark, folder), scoring.rule_scorer)
 
 
 def _records(spark, folder) -> DataFrame:
