@@ -2,18 +2,28 @@
 
 A document is flattened to (dotted path, text) pairs. Objects are opened level by level, so a path may
 be spelled nested, as one literal dotted key, or as any mix of both. An object is not a value; of a
-list the first element counts; JSON null keeps its path but has no text.
+list the first element counts; JSON null keeps its path but has no text. Of two spellings of one path
+in a document the later one counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import parse_number
 
+ENTRIES = "array<struct<key:string,raw:string,value:variant>>"
+
+
+def repeated_keys_allowed(frame: DataFrame) -> DataFrame:
+    """Lets the session read JSON objects that repeat a key; the last one counts. They would read as no object otherwise."""
+    frame.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return frame
+
+
 def _children(value: Column) -> Column:
     """Key and value pairs of an object, null for anything else."""
     return F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
@@ -28,6 +38,38 @@ def _leaf_text(value: Column) -> Column:
     return F.when(plain, text).when(is_list, F.try_variant_get(value, "$[0]", "string")).when(~is_object, text)
 
 
+def _is_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+
+
+def _texts_of(pairs: Column, paths: Sequence[str]) -> Column:
+    wanted = F.filter(pairs, lambda e: e["key"].isin(list(paths)) & ~F.coalesce(_is_object(e["value"]), F.lit(False)))
+    return F.transform(wanted, lambda e: F.struct(e["key"].alias("path"), _leaf_text(e["value"]).alias("text")))
+
+
+def _ordered_children(raw: Column, above: Column | None = None) -> Column:
+    """(key, raw text, value) of an object in the order of the text, which variants do not keep."""
+    texts, values = (F.map_entries(F.from_json(raw, f"map<string,{kind}>")) for kind in ("string", "variant"))
+
+    def entry(text: Column, value: Column) -> Column:
+        key = text["key"] if above is None else F.concat(above, F.lit("."), text["key"])
+        return F.struct(key.alias("key"), text["value"].alias("raw"), value["value"].alias("value"))
+
+    return F.zip_with(texts, values, entry)
+
+
+def _later_spelling(json_text: Column, paths: Sequence[str], depth: int) -> Column:
+    """The pairs of a document that spells a path twice: parsed again in its own order, the last one counts."""
+    pairs = F.coalesce(_ordered_children(json_text), F.array().cast(ENTRIES))
+    for _ in range(depth):
+        inner = lambda e: _ordered_children(F.when(_is_object(e["value"]), e["raw"]), e["key"])
+        pairs = F.flatten(F.transform(pairs, lambda e: F.coalesce(inner(e), F.array(e))))
+    texts = F.reverse(_texts_of(pairs, paths))
+    return F.transform(
+        F.array(texts), lambda t: F.filter(t, lambda e, i: F.array_position(t["path"], e["path"]) == i + 1)
+    )[0]
+
+
 def flatten_document(json_text: Column, paths: Sequence[str]) -> Column:
     """array<struct<path, text>> of those paths that occur in a JSON object.
 
@@ -50,16 +92,13 @@ def flatten_document(json_text: Column, paths: Sequence[str]) -> Column:
 
     for _ in range(depth):
         pairs = F.flatten(F.transform(pairs, open_pair))
-    pairs = F.filter(pairs, lambda e: e["key"].isin(list(paths)))
-    texts = F.transform(
-        pairs,
-        lambda e: F.struct(
-            e["key"].alias("path"),
-            _leaf_text(e["value"]).alias("text"),
-            F.try_variant_get(e["value"], "$", "map<string,variant>").isNull().alias("is_value"),
-        ),
-    )
-    return F.filter(texts, lambda e: e["is_value"])
+    # The array of one names the value, so that it is computed once.
+    return F.transform(
+        F.array(_texts_of(pairs, paths)),
+        lambda found: F.when(
+            F.size(F.array_distinct(found["path"])) < F.size(found), _later_spelling(json_text, paths, depth)
+        ).otherwise(found),
+    )[0]
 
 
 def leaf(json_text: Column, path: str) -> Column:
@@ -86,5 +125,5 @@ def to_float(value: Column, default: float = 0.0) -> Column:
 
 
 def to_int(value: Column, default: int = 0) -> Column:
-    """Truncates toward zero."""
-    return F.coalesce(parse_number(value).try_cast("int"), F.lit(default))
+    """Truncates toward zero. Whole numbers of 64 bits stay as they are."""
+    return F.coalesce(parse_number(value).try_cast("long"), F.lit(default).cast("long"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
-from ..functions.documents import first_present, flatten_document, to_float, to_int
+from ..functions.documents import first_present, flatten_document, repeated_keys_allowed, to_float, to_int
 from ..functions.reuse import built_once
 from ..functions.text import once, strip
 
@@ -85,7 +85,8 @@ def flatten(events: DataFrame, paths: Sequence[str], keep: Sequence[str]) -> Dat
     paths that occur."""
     pairs, values = _flattening(tuple(paths))
     return (
-        events.select(*keep, pairs.alias("_pairs"))
+        repeated_keys_allowed(events)
+        .select(*keep, pairs.alias("_pairs"))
         .select(*keep, once(F.col("_pairs.path")).alias("_paths"), once(F.col("_pairs.text")).alias("_texts"))
         .select(
             *keep,
@@ -228,7 +229,7 @@ def _firewall_columns() -> tuple[EventFields, dict[str, Column], dict[str, Colum
         "action": event.get("action"),
         "reason": event.get("reason"),
         "rule_name": event.get("rule"),
-        "severity": F.lit(0),
+        "severity": F.lit(0).cast("long"),
     }
     return event, record, context
 

@@ -22,8 +22,10 @@ def _clean_float(name: str) -> Column:
     return F.when(value.isNull() | F.isnan(value), F.lit(0.0).cast("float")).otherwise(value)
 
 
-def _clean_int(name: str) -> Column:
-    return F.coalesce(F.col(name).cast("int"), F.lit(0))
+def _clean_port(name: str) -> Column:
+    """Event documents may hold any whole number; what is scored lies within the range of ports."""
+    number = F.coalesce(F.col(name).cast("long"), F.lit(0))
+    return F.least(F.greatest(number, F.lit(0)), F.lit(65535)).cast("int")
 
 
 @built_once
@@ -32,8 +34,8 @@ def primary_view() -> dict[str, Column]:
     return {
         "src_ip": text.as_text(F.col("src_ip")),
         "dst_ip": text.as_text(F.col("dst_ip")),
-        "src_port": _clean_int("src_port"),
-        "dst_port": _clean_int("dst_port"),
+        "src_port": _clean_port("src_port"),
+        "dst_port": _clean_port("dst_port"),
         "protocol": text.clean_protocol(F.col("protocol")),
         "bytes": _clean_float("bytes"),
         "packets": _clean_float("packets"),

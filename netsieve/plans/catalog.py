@@ -1050,7 +1050,7 @@ def _m3(spark, folder):
 
 @register(
     "m4_numbers_from_text",
-    f"{NUMBER_CTE} SELECT event_id, n AS as_float, CASE WHEN isinf(n) THEN 0 ELSE trunc(n)::INT END AS as_int FROM "
+    f"{NUMBER_CTE} SELECT event_id, n AS as_float, CASE WHEN isinf(n) OR abs(n) >= 9e18 THEN 0 ELSE trunc(n)::BIGINT END AS as_int FROM "
     f"(SELECT event_id, {sql.number_sql('form')} AS n FROM raw)",
 )
 def _m4(spark, folder):

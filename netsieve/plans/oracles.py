@@ -424,7 +424,7 @@ def as_double(text: str) -> str:
 
 
 def as_whole(text: str) -> str:
-    return f"coalesce(try_cast(trunc(try_cast(trim({text}) AS DOUBLE)) AS INT), 0)"
+    return f"coalesce(try_cast(trunc(try_cast(trim({text}) AS DOUBLE)) AS BIGINT), 0)"
 
 
 def mapped_sql(paths: dict[str, list[str]], rules: str) -> dict[str, str]:
@@ -490,7 +490,7 @@ def mapped_sql(paths: dict[str, list[str]], rules: str) -> dict[str, str]:
             "action": get("action"),
             "reason": get("reason"),
             "rule_name": get("rule"),
-            "severity": as_whole(get("severity")) if rules == "R" else "0",
+            "severity": as_whole(get("severity")) if rules == "R" else "0::BIGINT",
         }
     return columns
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.documents import any_value, leaf
+from ..functions.documents import any_value, leaf, repeated_keys_allowed
 from ..functions.text import once
 
 EVENT_SCHEMA = "_index string, _id string, _source string"
@@ -35,11 +35,11 @@ def event_timestamp() -> Column:
 def ids_alerts(events: DataFrame) -> DataFrame:
     """Alerts of the intrusion detection module. Of a list of values any one counts."""
     document = F.col("_source")
-    return events.filter(any_value(document, "event.module", "suricata") & any_value(document, "event.kind", "alert"))
+    return repeated_keys_allowed(events).filter(any_value(document, "event.module", "suricata") & any_value(document, "event.kind", "alert"))
 
 
 def with_timestamp(events: DataFrame) -> DataFrame:
-    return events.withColumn("timestamp", once(event_timestamp()))
+    return repeated_keys_allowed(events).withColumn("timestamp", once(event_timestamp()))
 
 
 def since(events: DataFrame, cursor: str | None) -> DataFrame:

@@ -4,36 +4,43 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from netsieve.functions.documents import flatten_document, leaf
+from netsieve.functions.documents import flatten_document, leaf, repeated_keys_allowed, to_int
 from netsieve.operators import events
+from netsieve.operators.records import primary_view
 
 CASES = {
     '{"a":{"b":["x","y"]}}': "x", '{"a.b":5}': "5", '{"a":{"b":{"c":1}}}': None, '{"a":{"b":null}}': None,
     '{"a":{"b":[]}}': None, '{"a":{"b":""}}': "", "{}": None, '{"a":{"b":"{\\"q\\":1}"}}': '{"q":1}',
     '{"a":{"b":"[x]"}}': "[x]", '{"a":{"b":0.5}}': "0.5", '{"a":3,"a.b":"lit"}': "lit", "not json": None, "[1]": None,
+    '{"a":{"b":"first"},"a.b":"second"}': "second", '{"a.b":"first","a":{"b":"second"}}': "second",
+    '{"a.b":{"c":1},"a":{"b":7}}': "7", '{"a":{"b":1},"a":{"b":2}}': "2", '{"x":1,"x":2,"a.b":3}': "3",
 }
 
 
 def test_leaf(spark):
-    frame = spark.createDataFrame([(j,) for j in CASES], "j string")
+    frame = repeated_keys_allowed(spark.createDataFrame([(j,) for j in CASES], "j string"))
     assert {r.j: r.v for r in frame.select("j", leaf(F.col("j"), "a.b").alias("v")).collect()} == CASES
 
 
 PATHS = ["a", "a.b", "a.b.c", "a.c", "b.a", "b.a.c.d"]
 values = st.one_of(st.none(), st.integers(-5, 5), st.text("xy", max_size=2), st.lists(st.integers(0, 3), max_size=2))
-objects = st.recursive(values, lambda inner: st.dictionaries(st.sampled_from(["a", "b", "c", "d"]), inner, max_size=3), max_leaves=6)
-documents = st.dictionaries(st.sampled_from(["a", "b", "c"]), objects, max_size=3)
+names = st.sampled_from(["a", "b", "c", "d", "a.b", "b.c", "a.c"])
+objects = st.recursive(values, lambda inner: st.dictionaries(names, inner, max_size=3), max_leaves=6)
+documents = st.dictionaries(names, objects, max_size=4)
 
 
 def flat(document):
-    found, stack = {}, [((), document)]
-    while stack:
-        at, value = stack.pop()
+    found = {}
+
+    def walk(at, value):
         if isinstance(value, dict):
-            stack += [(at + (k,), v) for k, v in value.items()]
+            for key, inner in value.items():
+                walk((*at, key), inner)
         else:
             first = (value[0] if value else None) if isinstance(value, list) else value
             found[".".join(at)] = None if first is None else str(first)
+
+    walk((), document)
     return {p: found[p] for p in PATHS if p in found}
 
 
@@ -77,3 +84,13 @@ def test_uri_rules_differ(spark):
     host = {"suricata": {"eve": {"http": {"hostname": "h"}}}, "url": {"query": "q=1"}}
     assert one(spark, events.map_ids_events, host).uri == "h?q=1"
     assert one(spark, events.map_single_ids_events, host).uri == ""
+
+
+def test_large_ports_stay_in_the_record_and_are_scored_within_range(spark):
+    row = one(spark, events.map_firewall_events, {"source": {"port": 99999999999}, "destination.port": -5})
+    assert (row.src_port, row.dst_port) == (99999999999, -5)
+    frame = spark.createDataFrame([(99999999999, -5)], "src_port long, dst_port long")
+    view = primary_view()
+    assert tuple(frame.select(view["src_port"], view["dst_port"]).first()) == (65535, 0)
+    texts = spark.createDataFrame([("7.9",), ("-7.9",), ("x",), (None,), ("1e30",)], "t string")
+    assert [r[0] for r in texts.select(to_int(F.col("t"))).collect()] == [7, -7, 0, 0, 0]
