@@ -60,7 +60,8 @@ def class_length(n: int) -> int:
 
 
 def coins(repeats: int, steps: int) -> np.ndarray:
-    return np.random.default_rng(7).integers(1, 1 << 63, (repeats, steps), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    """[repeat, step] -> odd number. Drawn step by step: a walk of fewer steps has the same coins as the start of a longer one."""
+    return np.random.default_rng(7).integers(1, 1 << 63, (steps, repeats), dtype=np.uint64).T * np.uint64(2) + np.uint64(1)
 
 
 def sampled(length: int, repeats: int, samples: int) -> np.ndarray:

@@ -60,6 +60,19 @@ def test_recall_at_the_limit(spark, small):
         assert sum((d, True) in found for d in range(len(items))) >= least * len(items)
 
 
+def test_recall_of_items_of_different_length(spark):
+    rng = random.Random(11)
+    items = [[f"w{rng.randrange(20_000)}" for _ in range(n)] for n in (15, 40, 80, 160, 400) for _ in range(20)]
+    block = decontaminate.prepare(list(range(len(items))), [" ".join(w) for w in items])
+    texts = []
+    for words in items:
+        around = [f"fill{rng.randrange(10**6)}" for _ in range(120)]
+        texts.append(" ".join(around[:60] + edited(words, len(words) // 5, rng) + around[60:]).encode())
+    found = {(d, i) for d, i, *_ in decontaminate.matches(block, texts, 0.8, decontaminate.REPEATS)}
+    for first in range(0, len(items), 20):
+        assert sum((k, k) in found for k in range(first, first + 20)) >= 18
+
+
 def test_contamination_against_brute_force(spark, documents, small):
     benchmark = spark.read.parquet(f"{small}/benchmark.parquet")
     items = [(r.item_id, normal_bytes(r.text).split()) for r in benchmark.collect()]
