@@ -8,8 +8,9 @@ count of the next order: both classes share it, so a rare expression that one cl
 Discounts D are those of counts of 1, 2 and more, estimated from counts of counts. A word's evidence is log P_toxic - log P_ordinary. Evidence is averaged over the document and over each stretch
 of ``STRETCH`` words (all stretches, so that a long text with one insult is seen), and a logistic curve on the two turns it into a score.
 
-Only the fit is bounded: at most ``MAX_TRAIN`` documents of each class, chosen by a hash of their keys. Counting is a Spark aggregation; the
-model then holds at most what these documents hold, and is broadcast. Every document is scored, over its whole text.
+Counts come from all labelled documents that are not held out, but those that fit the curve, by Spark aggregations. Only the fit of the logistic
+curve is bounded: it takes its documents from at most ``MAX_TRAIN`` of each class, chosen by a hash of their keys. Pairs of every count make the
+continuation counts; the model, which is broadcast, has a direct term for pairs of ``LEAST_COUNT`` occurrences or more. Every document is scored, over its whole text.
 """
 
 from __future__ import annotations
@@ -28,12 +29,11 @@ from netsieve.operators.sizing import checkpoint_table
 
 MAX_TRAIN = 3000
 STRETCH = 6
-LEAST_COUNT = 60  # occurrences from which a pair of symbols counts as such; rarer ones fall back
-LEAST_KINDS = 5  # different words before it from which a symbol has a probability of its own
 FREQUENT = 20  # occurrences in the training texts from which a word is a symbol of its own
 HEAD = 5
 THRESHOLD = 0.7
-CALIBRATION_SHARE = 4  # one of so many training documents is for the logistic curve
+LEAST_COUNT = 60  # occurrences from which a pair of symbols counts as such; rarer ones fall back
+CALIBRATION_SHARE = 4  # one of so many documents of the bounded sample is for the logistic curve
 PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 HEAD_MARK = np.uint64(0xA5A5A5A55A5A5A5A)
 START = np.uint64(0x5851F42D4C957F2D)
@@ -149,8 +149,7 @@ def train_model(counts: pa.Table, frequent: np.ndarray) -> Model:
     unknown = left / all_classes
     pairs = pair_hash(before, word)[strong]
     order = np.argsort(pairs)
-    often = after.sum(1) >= LEAST_KINDS
-    return Model(pairs[order], direct[strong][order], befores, backoff, words[often], probability[often], frequent, (float(unknown[0]), float(unknown[1])), (0.0, 1.0, 0.0))
+    return Model(pairs[order], direct[strong][order], befores, backoff, words, probability, frequent, (float(unknown[0]), float(unknown[1])), (0.0, 1.0, 0.0))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float, float]:
@@ -173,20 +172,26 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def training_keys(labels: DataFrame, key: str, label: str, max_train: int) -> DataFrame:
-    """At most ``max_train`` keys of each class, lowest hashes first: a bounded table. A key with several labels counts as toxic if one is."""
+def training_keys(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """train_key, toxic, place of all keys that are not held out. A key with several labels counts as toxic if one is."""
     rows = labels.select(F.col(f"`{key}`").alias("train_key"), F.col(f"`{label}`").cast("int").alias("toxic"))
     rows = rows.filter(F.col("train_key").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("train_key")))
-    rows = rows.groupBy("train_key").agg(F.max("toxic").alias("toxic")).withColumn("place", F.xxhash64("train_key"))
-    parts = [rows.filter(cond).orderBy("place", "train_key").limit(max_train) for cond in ("toxic = 1", "toxic <> 1")]
-    return parts[0].unionByName(parts[1])
+    return rows.groupBy("train_key").agg(F.max("toxic").alias("toxic")).withColumn("place", F.xxhash64("train_key"))
+
+
+def curve_keys(keys: DataFrame, max_train: int) -> DataFrame:
+    """Keys for the logistic curve: one in ``CALIBRATION_SHARE`` of at most ``max_train`` of each class, lowest hashes first. A bounded table."""
+    parts = [keys.filter(cond).orderBy("place", "train_key").limit(max_train) for cond in ("toxic = 1", "toxic <> 1")]
+    return parts[0].unionByName(parts[1]).filter(F.pmod("place", F.lit(CALIBRATION_SHARE)) == 0).select("train_key", F.lit(True).alias("aside"))
 
 
 def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN) -> Model:
     """The model of the labelled documents that are not held out. Without documents of one class every score is 0.5."""
-    keys = checkpoint_table(training_keys(labels, key, label, max_train), "toxic-keys")
+    keys = checkpoint_table(training_keys(labels, key, label), "toxic-labels")
+    keys = keys.join(F.broadcast(curve_keys(keys, max_train)), "train_key", "left")
+    keys = checkpoint_table(keys.select("train_key", "toxic", F.coalesce("aside", F.lit(False)).alias("aside")), "toxic-keys")
     rows = documents.select(F.col(f"`{key}`").alias("train_key"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = rows.join(F.broadcast(keys), "train_key").select("text", "toxic", (F.pmod("place", F.lit(CALIBRATION_SHARE)) == 0).alias("aside"))
+    rows = rows.join(keys, "train_key").select("text", "toxic", "aside")
     rows = checkpoint_table(rows, "toxic-train")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

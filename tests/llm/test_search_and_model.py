@@ -121,6 +121,17 @@ def test_labels_that_are_held_out_change_nothing(spark, documents):
     assert a == {r.doc_id: r.score for r in toxicity.toxicity(documents, other).collect()}
 
 
+def test_counts_come_from_all_labelled_documents(spark, monkeypatch):
+    rows = [(i, f"word{i} and then{i % 7} some more") for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    seen, train = [], toxicity.train_model
+    monkeypatch.setattr(toxicity, "train_model", lambda counts, frequent: seen.append(counts) or train(counts, frequent))
+    toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels, max_train=10)
+    words = sum(sum(seen[0].column(c).to_pylist()) for c in ("toxic", "ordinary"))
+    learned = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _ in rows)
+    assert 5 * (learned - 20) <= words <= 5 * learned
+
+
 def test_toxicity_of_odd_rows(odd, empty, spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
     got = toxicity.toxicity(odd, labels).collect()
