@@ -125,17 +125,28 @@ def mixed_documents(documents: DataFrame, key: str = "doc_id", text: str = "text
     """The documents as the mix takes them, with their own columns: a document taken twice is two rows, one taken
     in part has its first ``taken`` words joined by one blank, one not taken is left out.
 
-    Empty documents and documents without words carry nothing and are left out. Keys must be unique for this form; a
-    key that occurs more than once takes, for each of its rows, the largest number that one of them takes.
+    Empty documents and documents without words carry nothing and are left out. Takes go to rows: null keys and keys that occur more than
+    once are met by key, source and size, and of rows that have all three in common the n-th by text has the n-th largest of their takes.
     """
-    takes = (
-        mix(documents, key=key, text=text, source=source, **options)
-        .filter("taken > 0")
-        .groupBy(F.col("doc_id").alias("_mix_key"))
-        .agg(F.max("taken").alias("_mix_taken"))
+    takes = mix(documents, key=key, text=text, source=source, **options).select(
+        F.col("doc_id").alias("_mix_key"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_words"), F.col("taken").alias("_mix_taken")
     )
+    same = ("_mix_key", "_mix_source", "_mix_words")
+    # equal takes are one row with the numbers it has: first, last
+    takes = takes.groupBy(*same, "_mix_taken").agg(F.count(F.lit(1)).alias("_mix_rows"))
+    takes = takes.withColumn("_mix_last", F.sum("_mix_rows").over(Window.partitionBy(*same).orderBy(F.col("_mix_taken").desc())))
+    takes = takes.filter("_mix_taken > 0").withColumn("_mix_first", F.col("_mix_last") - F.col("_mix_rows") + 1)
     size = word_count(F.col(f"`{text}`"))
-    rows = documents.join(takes, F.col(f"`{key}`").eqNullSafe(F.col("_mix_key"))).withColumn("_mix_size", size).filter("_mix_size > 0")
+    rows = documents.withColumn("_mix_size", size).filter("_mix_size > 0")
+    order = Window.partitionBy(F.col(f"`{key}`"), F.col(f"`{source}`"), "_mix_size").orderBy(F.xxhash64(F.col(f"`{text}`")), F.col(f"`{text}`"))
+    rows = rows.withColumn("_mix_number", F.row_number().over(order))
+    met = (
+        F.col(f"`{key}`").eqNullSafe(F.col("_mix_key"))
+        & F.col(f"`{source}`").eqNullSafe(F.col("_mix_source"))
+        & (F.col("_mix_size") == F.col("_mix_words"))
+        & F.col("_mix_number").between(F.col("_mix_first"), F.col("_mix_last"))
+    )
+    rows = rows.join(takes, met)
     rows = rows.withColumn("_mix_copy", F.explode(F.expr("sequence(0L, (_mix_taken - 1) div _mix_size)")))
     words = F.least(F.col("_mix_size"), F.col("_mix_taken") - F.col("_mix_copy") * F.col("_mix_size"))
     part = F.array_join(F.slice(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"([^\x20\x09-\x0D]+)")), 1, words.cast("int")), " ")

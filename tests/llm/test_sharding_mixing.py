@@ -77,6 +77,19 @@ def test_mixed_documents_hold_what_is_taken(documents):
     assert sum(len(r.text.encode().split()) for r in out.collect()) == taken
 
 
+def test_rows_without_a_key_of_their_own_are_taken_as_the_mix_says(spark):
+    rows = [(None, "one", "s0"), (None, " ".join(["long"] * 2000), "s0"), (None, "two words", "s1"), (None, "other words", "s1"), (None, "more words", "s0")]
+    rows += [(7, " ".join(f"w{k}" for k in range(n)), s) for n in (3, 40, 41, 300) for s in ("s0", "s1", None)] + [(7, "x y z", "s0")] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = Counter()
+    for r in mixing.mix(frame).collect():
+        want[r.doc_id, r.source] += r.taken
+    out, got = mixing.mixed_documents(frame).collect(), Counter()
+    for r in out:
+        got[r.doc_id, r.source] += len(r.text.split())
+    assert +got == +want and len(out) <= 2 * len(rows)
+
+
 def test_empty_tables(empty):
     assert sharding.placement(empty).count() == 0
     assert mixing.mix(empty).count() == 0
