@@ -284,7 +284,25 @@ def _blocks(items: DataFrame, size: int) -> Iterator[list]:
         yield part
 
 
-def clean_documents(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents, with their own columns, that hold no item of the benchmark; documents with a null key are judged by nothing and stay."""
-    found = contamination(documents, benchmark, key=key, text=text, **options).select(F.col("doc_id").alias("_hit")).distinct()
-    return documents.join(found, F.col(f"`{key}`") == F.col("_hit"), "left_anti")
+def clean_documents(
+    documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, repeats: int = REPEATS,
+    item_key: str = "item_id", item_text: str = "text", block_items: int = BLOCK_ITEMS,
+) -> DataFrame:
+    """The documents, with their own columns, that hold no item of the benchmark. Each row is judged by its own text, inside the scan, so null
+    and repeated keys are judged like others. Large benchmarks are one filter for each block of items."""
+
+    def without(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block: Block = Block(*pickle.loads(shared.value))
+            for batch in batches:
+                hit = {d for d, *_ in matches(block, [normal_bytes(t.as_py()) for t in batch.column(place)], similarity, repeats)}
+                yield batch.filter(pa.array([d not in hit for d in range(batch.num_rows)], pa.bool_()))
+
+        return run
+
+    place, out = documents.columns.index(text), documents
+    items = benchmark.select(F.col(f"`{item_key}`").alias("item_id"), F.col(f"`{item_text}`").cast("string").alias("text"))
+    for part in _blocks(items, block_items):
+        block = prepare([r["item_id"] for r in part], [r["text"] for r in part], similarity, repeats)
+        out = out.mapInArrow(without(documents.sparkSession.sparkContext.broadcast(pickle.dumps(tuple(block)))), documents.schema)
+    return out

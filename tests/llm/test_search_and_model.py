@@ -121,6 +121,15 @@ def test_labels_that_are_held_out_change_nothing(spark, documents):
     assert a == {r.doc_id: r.score for r in toxicity.toxicity(documents, other).collect()}
 
 
+def test_rows_without_a_key_of_their_own_are_judged_by_their_text(spark):
+    item = " ".join(f"item{k}" for k in range(30))
+    rows = [(None, f"before {item} after"), (None, "nothing to see"), (5, item), (5, "other text of this key"), (6, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = decontaminate.clean_documents(frame, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert Counter(tuple(r) for r in kept.collect()) == Counter([rows[1], rows[3], rows[4]])
+    assert decontaminate.clean_documents(frame, spark.createDataFrame([], "item_id long, text string")).count() == len(rows)
+
+
 def test_counts_come_from_all_labelled_documents(spark, monkeypatch):
     rows = [(i, f"word{i} and then{i % 7} some more") for i in range(300)]
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
