@@ -113,43 +113,46 @@ def summaries(evidence: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return out
 
 
-def discounted(counts: np.ndarray) -> np.ndarray:
-    """Counts less the discounts of counts of 1, 2 and more, which the counts of counts give; 0 stays 0."""
-    n1, n2, n3, n4 = (max(1.0, float((counts == k).sum())) for k in (1, 2, 3, 4))
+def discounted(counts: np.ndarray, of_counts: list[int] | None = None) -> np.ndarray:
+    """Counts less the discounts of counts of 1, 2 and more, which the counts of counts (of 1 to 4) give; 0 stays 0."""
+    n1, n2, n3, n4 = (max(1.0, float(n)) for n in of_counts or [(counts == k).sum() for k in (1, 2, 3, 4)])
     y = n1 / (n1 + 2 * n2)
     less = np.clip([0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.5, 0.75, 1.0], [0, 0.95, 1.75, 2.5])
     return counts - less[np.minimum(counts, 3).astype(int)]
 
 
-def train_model(counts: pa.Table, frequent: np.ndarray) -> Model:
-    """Model of the counts (before, word, toxic, ordinary) of all bigrams of the training texts; the curve is still flat."""
-    before = counts.column("before").to_numpy().view(np.uint64)
-    word = counts.column("word").to_numpy().view(np.uint64)
-    n = np.stack([counts.column("toxic").to_numpy(), counts.column("ordinary").to_numpy()], 1).astype(float)
-    befores, b = np.unique(before, return_inverse=True)
-    words, w = np.unique(word, return_inverse=True)
-
-    def summed(group: np.ndarray, size: int, values: np.ndarray) -> np.ndarray:
-        return np.stack([np.bincount(group, values[:, c], size) for c in (0, 1)], 1)
-
-    def each(values: np.ndarray) -> np.ndarray:
-        return np.stack([discounted(values[:, c]) for c in (0, 1)], 1)
-
-    total = summed(b, len(befores), n)
-    strong = n.sum(1) >= LEAST_COUNT
-    direct = each(n) / np.maximum(total, 1)[b] * strong[:, None]
-    backoff = 1 - summed(b, len(befores), direct)
-    after = summed(w, len(words), (n > 0).astype(float))
-    own = each(after) / np.maximum(after.sum(0), 1)
+def train_model(counts: DataFrame, frequent: np.ndarray) -> Model:
+    """Model of the counts (before, word, toxic, ordinary) of all bigrams of the training texts; the curve is still flat. All pairs are summed in
+    Spark; the driver gets a row for each symbol and for each pair of ``LEAST_COUNT`` occurrences."""
+    sides = ("toxic", "ordinary")
+
+    def table(rows: DataFrame, name: str) -> tuple[np.ndarray, np.ndarray]:
+        found = rows.toArrow()
+        symbols = found.column(name).to_numpy().view(np.uint64)
+        order = np.argsort(symbols, kind="stable")
+        return symbols[order], np.stack([found.column(c).to_numpy() for c in sides], 1).astype(float)[order]
+
+    of_counts = counts.agg(*[F.count_if(F.col(c) == k) for c in sides for k in (1, 2, 3, 4)]).first()
+    befores, total = table(counts.groupBy("before").agg(*[F.sum(c).alias(c) for c in sides]), "before")
+    words, after = table(counts.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in sides]), "word")
+    strong = counts.filter(F.col("toxic") + F.col("ordinary") >= LEAST_COUNT).toArrow()
+    before = strong.column("before").to_numpy().view(np.uint64)
+    word = strong.column("word").to_numpy().view(np.uint64)
+    n = np.stack([strong.column(c).to_numpy() for c in sides], 1).astype(float)
+    b = np.searchsorted(befores, before)
+    less = np.stack([discounted(n[:, c], list(of_counts[4 * c : 4 * c + 4])) for c in (0, 1)], 1)
+    direct = less / np.maximum(total, 1)[b]
+    backoff = 1 - np.stack([np.bincount(b, direct[:, c], len(befores)) for c in (0, 1)], 1)
+    own = np.stack([discounted(after[:, c]) for c in (0, 1)], 1) / np.maximum(after.sum(0), 1)
     left = 1 - own.sum(0)
     left = np.where(left > 0, left, 1.0)
     classes = (after > 0).sum(1)
     all_classes = classes.sum() + 1  # one for words that neither has
     probability = own + left * (classes / all_classes)[:, None]
     unknown = left / all_classes
-    pairs = pair_hash(before, word)[strong]
+    pairs = pair_hash(before, word)
     order = np.argsort(pairs)
-    return Model(pairs[order], direct[strong][order], befores, backoff, words, probability, frequent, (float(unknown[0]), float(unknown[1])), (0.0, 1.0, 0.0))
+    return Model(pairs[order], direct[order], befores, backoff, words, probability, frequent, (float(unknown[0]), float(unknown[1])), (0.0, 1.0, 0.0))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float, float]:
@@ -217,7 +220,8 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["before", "word", "toxic", "ordinary"])
 
     counted = rows.filter("not aside").select("text", "toxic").mapInArrow(count, "before long, word long, toxic long, ordinary long")
-    model = train_model(counted.groupBy("before", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toArrow(), frequent)
+    counted = counted.groupBy("before", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    model = train_model(checkpoint_table(counted, "toxic-pairs"), frequent)
     sample = evidence(rows.filter("aside").select(F.col("toxic").cast("long").alias("doc_id"), "text"), model).toArrow()
     y = sample.column("doc_id").to_numpy() == 1
     if not len(y) or y.all() or not y.any():
