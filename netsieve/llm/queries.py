@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from netsieve.llm import blocks, decontaminate, mixing, parsing, phrases, quality, sharding, simhash, tokens, toxicity
+from netsieve.llm import blocks, decontaminate, mixing, ngrams, parsing, phrases, quality, sharding, simhash, tokens, toxicity
 from netsieve.llm.oracles import ORACLES
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -67,10 +67,14 @@ def op10_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return blocks.extract_text(table(spark, sf, "pages"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return ngrams.language_scores(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_decontamination, op2_substring_dedup, op3_sharding, op4_simhash, op5_suffix_array, op6_token_counts, op7_quality, op8_toxicity,
-        op9_mixing, op10_html_extraction,
+        op9_mixing, op10_html_extraction, op11_lm_scoring,
     )
     return {f.__name__: f for f in own}
 
