@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express: numbers are written out here and not shared with the operators.
 
-op3 needs XXH64 and CRC-32, op4 XXH64, op6 a vocabulary, op10 a page parser, op1, op2, op5 and op8 their automata, orders and models; these are
+op12's CRC-32 is taken bit by bit. op3 needs XXH64 and CRC-32, op4 XXH64, op6 a vocabulary, op10 a page parser, op1, op2, op5, op8, op11 and op13 their automata, orders and models; these are
 tested against brute force (tests/llm).
 """
 
@@ -42,4 +42,46 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM placed
 """
 
-ORACLES = {"op9_mixing": OP9}
+OP12 = r"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, CAST(conv_id AS VARCHAR) AS s FROM t
+), c AS (
+  SELECT conv_id, base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(s) + 1), lambda i: ascii(substr(s, i::BIGINT, 1))::BIGINT)),
+                         lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+                                                    lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END)),
+             4294967295::BIGINT) % 4 AS h
+  FROM ids
+), r AS (
+  SELECT c.conv_id, 0 AS part, t.place, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.place < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.place, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.place >= c.h
+), p AS (
+  SELECT conv_id, list(md5(role) || md5(text)) OVER (PARTITION BY conv_id ORDER BY part, place) AS k,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w
+  FROM r
+  UNION ALL
+  SELECT conv_id, []::VARCHAR[], 0 FROM c
+), n AS (
+  SELECT k, len(k) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(w) AS w FROM p GROUP BY k
+), kids AS (
+  SELECT k[1:depth - 1] AS k, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1
+), own AS (
+  SELECT n.*, coalesce(kids.n, 0) AS n_children FROM n LEFT JOIN kids ON n.k = kids.k
+), under AS (
+  SELECT k[1:d] AS k, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum((n_convs - 1) * w) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM own) GROUP BY 1
+), last AS (
+  SELECT conv_id, max_by(k, len(k)) AS k FROM p GROUP BY conv_id
+), ends AS (
+  SELECT k, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM last GROUP BY k
+)
+SELECT own.conv_id, CAST(own.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, own.n_convs, CAST(own.n_children AS BIGINT) AS n_children,
+       under.n_leaves, under.saved_tokens, coalesce(ends.ends, sha256('')) AS ends_sha256
+FROM own JOIN under ON own.k = under.k LEFT JOIN n up ON own.depth > 0 AND up.k = own.k[1:own.depth - 1] LEFT JOIN ends ON own.k = ends.k
+"""
+
+ORACLES = {"op9_mixing": OP9, "op12_prefix_trie": OP12}
