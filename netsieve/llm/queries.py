@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from netsieve.llm import blocks, decontaminate, mixing, ngrams, parsing, phrases, prefixes, quality, sharding, simhash, tokens, toxicity
+from netsieve.llm import blocks, decontaminate, mixing, ngrams, parsing, phrases, prefixes, quality, repair, sharding, simhash, tokens, toxicity
 from netsieve.llm.oracles import ORACLES
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -75,10 +75,15 @@ def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return prefixes.conversation_trie(table(spark, sf, "conversations"), rebuild=True)
 
 
+def op13_structure_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_decontamination, op2_substring_dedup, op3_sharding, op4_simhash, op5_suffix_array, op6_token_counts, op7_quality, op8_toxicity,
         op9_mixing, op10_html_extraction, op11_lm_scoring, op12_prefix_trie,
+        op13_structure_repair,
     )
     return {f.__name__: f for f in own}
 
