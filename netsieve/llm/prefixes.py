@@ -25,10 +25,10 @@ from netsieve.operators.sizing import checkpoint_table
 
 BASE_STEP = 20
 MAX_HEAD = 4
-TOP_CONVERSATIONS = 1024  # conversations through a node above which it belongs to the top
+TOP_CONVERSATIONS = 64  # conversations through a node above which it belongs to the top
 TOP_BITS = 18  # the top has at most 2^18 nodes: the limit grows with the rows
 SHARD_NODES = 20_000
-LEAST_SHARDS = 24
+LEAST_SHARDS = 64
 SALT = 7_046_029_254_386_353_131
 NOTHING = hashlib.sha256(b"").hexdigest()
 KEY = ("depth", "d1", "d2")
