@@ -37,3 +37,8 @@ def traffic_keys(record: dict[str, Column]) -> dict[str, Column]:
         "endpoint": endpoint,
         "request": F.concat(source, F.lit("|"), endpoint),
     }
+
+
+def key_digest(key: Column) -> Column:
+    """16 bytes that stand for a key of any length in joins and stored tables; null for null."""
+    return F.unhex(F.md5(key.cast("binary")))

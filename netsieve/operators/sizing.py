@@ -40,6 +40,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The whole address of a path, as Hadoop completes it."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

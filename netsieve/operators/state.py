@@ -2,24 +2,49 @@
 
 All of it is kept as tables. ``fit`` gives lazy tables; ``fit_to`` writes them as Parquet in few
 passes over the data and ``load_state`` reads them back together with their recorded sizes, which
-decide how a lookup joins (see ``lookups``).
+decide how a lookup joins (see ``lookups``). Tables too large to broadcast are stored a second time,
+bucketed and sorted by a 16-byte digest of the key: a join with records moves only the records.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
-from ..functions.keys import source_key, traffic_keys
+from ..functions.keys import key_digest, source_key, traffic_keys
 from .records import primary_view, with_text
-from .sizing import small_table
+from .sizing import checkpoint_table, qualified, small_table
 
 COUNT_KINDS = ("dst", "src_dst", "endpoint", "request")
 MIN_COUNT = 2
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
+BUCKET_ROWS = 1_000_000  # rows of a stored table for one bucket
+SEEN_ROWS = 1_000_000  # digests of repeated keys up to which they are broadcast as they are
+TWO_PASS_BYTES = 64 << 30  # input from which keys seen once are told apart before any text is shuffled
+BITMAP_BITS = 32_768  # one row of a bit table
+BITS_PER_KEY = 16
+MAX_BITS = 1 << 28  # of a bit table: 32 MB
+CATEGORIES = ("protocol", "http_method")
+# What all web-payload views of requests share: (table, key) and the values read there.
+WEB_SOURCE, WEB_TARGET = "NO_SRC::HTTP", "NO_DST::HTTP::0"
+WEB_LOOKUPS = {
+    "protocol": ("HTTP", {"protocol_code": "code", "protocol_frequency": "frequency"}),
+    "http_method": ("GET", {"http_method_code": "code", "http_method_frequency": "frequency"}),
+    "sources": (WEB_SOURCE, {"src": "count", "ports": "ports"}),
+    "dst": (WEB_TARGET, {"dst": "count"}),
+    "src_dst": (f"{WEB_SOURCE}->{WEB_TARGET}", {"src_dst": "count"}),
+}
+COLUMNS = {
+    **{name: "value string, code int, frequency double" for name in CATEGORIES},
+    "sources": "key string, count long, ports long",
+    **{kind: "key string, count long" for kind in COUNT_KINDS},
+}
 
 
 @dataclass(frozen=True)
@@ -27,7 +52,7 @@ class FeatureState:
     """protocol/http_method: (value, code, frequency); sources: (key, count, ports); counts: (key, count).
 
     ``sizes`` is known for stored state only: table -> (rows, key bytes). ``total`` is the number of
-    fitted rows.
+    fitted rows, ``constants`` what ``WEB_LOOKUPS`` found. Large stored tables have a ``digest`` too.
     """
 
     protocol: DataFrame
@@ -36,6 +61,14 @@ class FeatureState:
     counts: dict[str, DataFrame]
     total: int | None = None
     sizes: dict[str, tuple[int, int]] = field(default_factory=dict)
+    constants: dict[str, float] | None = None
+
+    def table(self, name: str) -> DataFrame:
+        return self.counts[name] if name in self.counts else getattr(self, name)
+
+
+def fits_broadcast(size: tuple[int, int] | None) -> bool:
+    return size is not None and size[0] <= BROADCAST_ROWS and size[1] <= BROADCAST_BYTES
 
 
 def keyed(frame: DataFrame) -> DataFrame:
@@ -76,18 +109,18 @@ def _small_positions(counts: DataFrame) -> DataFrame:
 
 
 def _large_positions(counts: DataFrame) -> DataFrame:
-    """Global rank without one sorted task: rank inside a two-letter prefix plus the prefix offset."""
-    prefixed = counts.withColumn("prefix", F.substring("value", 1, 2))
-    before = W.orderBy("prefix").rowsBetween(W.unboundedPreceding, -1)
-    offsets = prefixed.groupBy("prefix").agg(F.count(F.lit(1)).alias("size")).select(
-        "prefix", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset")
-    )
-    inside = F.row_number().over(W.partitionBy("prefix").orderBy("value"))
-    return (
-        prefixed.withColumn("inside", inside)
-        .join(offsets, "prefix")
-        .select("value", "n", (F.col("offset") + F.col("inside")).alias("position"))
-    )
+    """Global rank without one sorted task: ranges of values, the rows before each range, the place inside.
+
+    The ranged table is written, as ranges are sampled and a second run could cut elsewhere. Ids of rows hold
+    range and place; only the number of rows of each range is summed in one place.
+    """
+    ranged = counts.repartitionByRange("value").sortWithinPartitions("value").withColumn("id", F.monotonically_increasing_id())
+    ranged = checkpoint_table(ranged, "ranked-values")
+    ranged = ranged.select("value", "n", F.shiftright("id", 33).alias("range"), F.col("id").bitwiseAND(F.lit((1 << 33) - 1)).alias("inside"))
+    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("size"))
+    offsets = offsets.select("range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))  # one row for each range
+    return ranged.join(F.broadcast(offsets), "range").select("value", "n", (F.col("offset") + F.col("inside") + 1).alias("position"))
 
 
 def source_table(frame: DataFrame) -> DataFrame:
@@ -124,69 +157,168 @@ def fit(frame: DataFrame) -> FeatureState:
     )
 
 
-def all_key_counts(frame: DataFrame) -> DataFrame:
-    """(kind, key, count) for the four remaining kinds in one pass and one shuffle."""
+def _kind_keys(frame: DataFrame) -> DataFrame:
+    """(kind, key) of the four remaining kinds, and ``mark``, 64 bits that stand for both."""
     keys = keyed(frame)
     pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("key")) for kind in COUNT_KINDS])
-    return (
-        keys.select(F.inline(pairs))
-        .groupBy("kind", "key")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .filter(F.col("count") >= MIN_COUNT)
-    )
+    return keys.select(F.inline(pairs)).withColumn("mark", F.xxhash64("kind", "key"))
+
+
+def repeated_marks(keys: DataFrame) -> DataFrame:
+    """Marks that occur twice or more: keys seen once are told apart by 8 bytes, and their text is not shuffled."""
+    return keys.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_COUNT).select("mark")
+
+
+def seen_again(keys: DataFrame, marks: DataFrame, rows: int) -> DataFrame:
+    """The rows whose mark is among ``marks``, and a few more beyond ``SEEN_ROWS`` marks, where a bit table of at most ``MAX_BITS`` bits is
+    broadcast instead of them. Only a table of more keys than it has bits lets most rows through; counts are exact in any case."""
+    if rows <= SEEN_ROWS:
+        return keys.join(F.broadcast(marks), "mark", "left_semi")
+    bits = BITMAP_BITS
+    while bits < min(MAX_BITS, rows * BITS_PER_KEY):
+        bits *= 2
+    place = F.pmod("mark", F.lit(bits))
+    slot, bit = F.shiftright(place, 15), place.bitwiseAND(F.lit(BITMAP_BITS - 1))
+    table = marks.select(slot.alias("slot"), bit.alias("bit")).groupBy("slot").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    at = keys.withColumns({"_slot": slot, "_bit": bit}).join(F.broadcast(table), F.col("_slot") == F.col("slot"))
+    byte = F.conv(F.hex(F.substring("bits", (F.shiftright("_bit", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return at.filter(F.getbit(byte, F.col("_bit").bitwiseAND(F.lit(7)).cast("int")) == 1).select(*keys.columns)
+
+
+def planned_bytes(frame: DataFrame) -> int:
+    """Bytes of a table as the planner estimates them from its files."""
+    return int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def all_key_counts(frame: DataFrame, two_passes: bool | None = None) -> DataFrame:
+    """(kind, key, count) of keys seen twice or more.
+
+    In two passes the marks that recur are found first, and only texts of those are shuffled, at the price of a second scan. By default that
+    is done for tables of ``TWO_PASS_BYTES`` or more. Counts are the same.
+    """
+    keys = _kind_keys(frame)
+    if not (planned_bytes(frame) >= TWO_PASS_BYTES if two_passes is None else two_passes):
+        return keys.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") >= MIN_COUNT)
+    marks = checkpoint_table(repeated_marks(keys), "repeated-marks")
+    kept = seen_again(keys, marks, marks.count())
+    return kept.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") >= MIN_COUNT)
 
 
 def fit_to(frame: DataFrame, path: str) -> FeatureState:
-    """Fit and store. Three passes over narrow columns, each aggregated before its shuffle."""
+    """Fit and store, in passes over narrow columns that are each aggregated before their shuffle."""
     spark = frame.sparkSession
     all_key_counts(frame).write.mode("overwrite").partitionBy("kind").parquet(f"{path}/counts")
     source_table(frame).write.mode("overwrite").parquet(f"{path}/sources")
     record = primary_view()
-    fields = F.array(
-        *[F.struct(F.lit(name).alias("field"), record[name].alias("value")) for name in ("protocol", "http_method")]
-    )
+    fields = F.array(*[F.struct(F.lit(name).alias("field"), record[name].alias("value")) for name in CATEGORIES])
     values = (
         frame.select(F.inline(fields)).groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
     )
     values.write.mode("overwrite").parquet(f"{path}/values")
     values = spark.read.parquet(f"{path}/values")
-    for name in ("protocol", "http_method"):
+    for name in CATEGORIES:
         counts = values.filter(F.col("field") == name).select("value", "n")
         category_table(counts).write.mode("overwrite").parquet(f"{path}/{name}")
-    _table_sizes(spark, path).coalesce(1).write.mode("overwrite").json(f"{path}/sizes")
+    facts = _facts(spark, path).collect()  # one row for each table and constant
+    facts = [r if fits_broadcast((r.rows, r.key_bytes)) or r.kind not in COLUMNS else _bucketed(spark, path, r) for r in facts]
+    spark.createDataFrame(facts, FACTS).coalesce(1).write.mode("overwrite").json(f"{path}/sizes")
     return load_state(spark, path)
 
 
-def _table_sizes(spark: SparkSession, path: str) -> DataFrame:
-    key_bytes = F.coalesce(F.sum(F.octet_length("key")), F.lit(0)).cast("long").alias("key_bytes")
-    rows = F.count(F.lit(1)).alias("rows")
-    kept = spark.read.parquet(f"{path}/counts").groupBy("kind").agg(rows, key_bytes)
-    sources = spark.read.parquet(f"{path}/sources").agg(rows, key_bytes)
-    total = spark.read.parquet(f"{path}/values").filter(F.col("field") == "protocol")
-    total = total.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"))
-    sizes = kept.unionByName(sources.withColumn("kind", F.lit("sources")))
-    sizes = sizes.unionByName(total.withColumn("kind", F.lit("total")).withColumn("key_bytes", F.lit(0).cast("long")))
-    for name in ("protocol", "http_method"):
-        table = spark.read.parquet(f"{path}/{name}").withColumnRenamed("value", "key").agg(rows, key_bytes)
-        sizes = sizes.unionByName(table.withColumn("kind", F.lit(name)))
-    return sizes
+FACTS = "kind string, rows long, key_bytes long, buckets int, web array<struct<name:string,value:double>>"
 
 
-def load_state(spark: SparkSession, path: str) -> FeatureState:
+def _plain_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    if name in COUNT_KINDS:
+        counts = spark.read.schema(f"{COLUMNS[name]}, kind string").parquet(f"{path}/counts")
+        return counts.filter(F.col("kind") == name).select("key", "count")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{path}/{name}")
+
+
+def _table_name(path: str) -> str:
+    return f"netsieve_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def _bucketed(spark: SparkSession, path: str, fact):
+    """Stores a table once more by digest; the fact with its number of buckets."""
+    table = _plain_table(spark, path, fact.kind)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-fact.rows // BUCKET_ROWS))
+    rows = table.withColumn("digest", key_digest(F.col(table.columns[0])))
+    place = qualified(spark, f"{path}/by-digest/{fact.kind}")
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(place)}")
+    writer = rows.repartition(n, "digest").write.format("parquet").mode("overwrite").option("path", place)
+    writer.bucketBy(n, "digest").sortBy("digest").saveAsTable(_table_name(place))
+    return Row(kind=fact.kind, rows=fact.rows, key_bytes=fact.key_bytes, buckets=n, web=fact.web)
+
+
+def _stored_table(spark: SparkSession, path: str, name: str, buckets: int) -> DataFrame:
+    """A table as stored; bucketed ones are made known to the session's catalog, under a name that follows from the path."""
+    if not buckets:
+        return _plain_table(spark, path, name)
+    place = qualified(spark, f"{path}/by-digest/{name}")
+    known = _table_name(place)
+    quoted = place.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {known} ({COLUMNS[name]}, digest binary) USING parquet "
+        f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{quoted}'"
+    )
+    spark.catalog.refreshTable(known)
+    return spark.table(known)
+
+
+def _facts(spark: SparkSession, path: str) -> DataFrame:
+    """(kind, rows, key_bytes, buckets, web) of each table, and the number of fitted rows as ``total``. ``web`` holds what ``WEB_LOOKUPS`` finds in the table; one scan for each stored table."""
+    rows, none = F.count(F.lit(1)).alias("rows"), F.lit(0).cast("long")
+
+    def found(name: str, hit, columns: dict[str, str]):
+        return [F.struct(F.lit(n).alias("name"), F.max(F.when(hit, F.col(c))).cast("double").alias("value")) for n, c in columns.items()]
+
+    def measured(table: DataFrame, key: str, web: list) -> list:
+        size = F.coalesce(F.sum(F.octet_length(key)), none).cast("long").alias("key_bytes")
+        empty = F.array().cast("array<struct<name:string,value:double>>")
+        return [rows, size, F.lit(0).alias("buckets"), (F.array(*web) if web else empty).alias("web")]
+
+    parts = []
+    for name in ("sources", *CATEGORIES):
+        table = _plain_table(spark, path, name)
+        key = table.columns[0]
+        wanted, columns = WEB_LOOKUPS[name]
+        parts.append(table.agg(*measured(table, key, found(name, F.col(key) == wanted, columns))).withColumn("kind", F.lit(name)))
     counts = spark.read.schema("key string, count long, kind string").parquet(f"{path}/counts")
-    sizes_schema = "kind string, rows long, key_bytes long"
-    # One row per state table.
-    sizes = {r.kind: (r.rows, r.key_bytes) for r in spark.read.schema(sizes_schema).json(f"{path}/sizes").collect()}
-    total, _ = sizes.pop("total")
-    for kind in COUNT_KINDS:
-        sizes.setdefault(kind, (0, 0))
+    web = [c for kind in ("dst", "src_dst") for c in found(kind, (F.col("kind") == kind) & (F.col("key") == WEB_LOOKUPS[kind][0]), WEB_LOOKUPS[kind][1])]
+    parts.append(counts.groupBy("kind").agg(*measured(counts, "key", web)))
+    whole = spark.read.parquet(f"{path}/values").filter(F.col("field") == "protocol").agg(F.coalesce(F.sum("n"), none).cast("long").alias("rows"))
+    parts.append(whole.select(F.lit("total").alias("kind"), "rows", none.alias("key_bytes"), F.lit(0).alias("buckets"), F.array().cast("array<struct<name:string,value:double>>").alias("web")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select("kind", "rows", "key_bytes", "buckets", "web")
+
+
+def web_constants(tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, value) of what ``WEB_LOOKUPS`` finds; at most one row for each value, as keys are unique."""
+    parts = None
+    for name, (key, columns) in WEB_LOOKUPS.items():
+        table = tables[name]
+        hit = table.filter(F.col(table.columns[0]) == key)
+        pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).cast("double").alias("value")) for n, c in columns.items()])
+        row = hit.select(F.inline(pairs))
+        parts = row if parts is None else parts.unionByName(row)
+    return parts
+
+
+def load_state(spark: SparkSession, path: str) -> FeatureState:
+    facts = {r.kind: r for r in spark.read.schema(FACTS).json(f"{path}/sizes").collect()}
+    sizes = {name: (facts[name].rows, facts[name].key_bytes) if name in facts else (0, 0) for name in COLUMNS}
+    tables = {name: _stored_table(spark, path, name, facts[name].buckets if name in facts else 0) for name in COLUMNS}
     return FeatureState(
-        protocol=spark.read.schema("value string, code int, frequency double").parquet(f"{path}/protocol"),
-        http_method=spark.read.schema("value string, code int, frequency double").parquet(f"{path}/http_method"),
-        sources=spark.read.schema("key string, count long, ports long").parquet(f"{path}/sources"),
-        counts={kind: counts.filter(F.col("kind") == kind).select("key", "count") for kind in COUNT_KINDS},
-        total=total,
+        protocol=tables["protocol"],
+        http_method=tables["http_method"],
+        sources=tables["sources"],
+        counts={kind: tables[kind] for kind in COUNT_KINDS},
+        total=facts["total"].rows,
         sizes=sizes,
+        constants={w.name: w.value for r in facts.values() for w in r.web or [] if w.value is not None},
     )
 
 
