@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
+from netsieve.llm.rows import fresh
 from netsieve.llm.words import bounded_broadcast, word_count
 from netsieve.operators.sizing import checkpoint_table
 
@@ -16,6 +18,7 @@ MAX_EPOCHS = 2
 KEY_BITS = 60
 BUCKET_BITS = 12
 MAX_BROADCAST_SOURCES = 10_000
+STEP = 1_000  # rows that one generated array names
 
 
 def order_key(key: Column) -> Column:
@@ -56,6 +59,29 @@ def targets(sources: DataFrame, weights: Sequence[float], share: float, max_epoc
     )
 
 
+def cut_plan(sized: DataFrame, weights: Sequence[float], share: float, max_epochs: float) -> DataFrame:
+    """Sizes (source, bucket, size) -> for each source plan_source, source_size, target, epochs, the bucket of the cut and the words left for it."""
+    cells = sized.groupBy("source", "bucket").agg(F.sum("size").alias("cell"))
+    goals = targets(cells.groupBy("source").agg(F.sum("cell").alias("source_size")), weights, share, max_epochs)
+    goals = (
+        goals.withColumn("budget", F.round("target").cast("long"))
+        .withColumn("epochs", F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0)))
+        .withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_size"))
+    )
+    below = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    goals = goals.withColumnRenamed("source", "plan_source")
+    summed = cells.withColumn("below", F.coalesce(F.sum("cell").over(below), F.lit(0)))
+    cut = (
+        summed.join(goals, F.col("source").eqNullSafe(F.col("plan_source")))
+        .filter((F.col("below") <= F.col("rest")) & (F.col("rest") < F.col("below") + F.col("cell")))
+        .select("plan_source", "source_size", "target", "epochs", F.col("bucket").alias("cut"), (F.col("rest") - F.col("below")).alias("left"))
+    )
+    empty = goals.filter("source_size = 0").select(
+        "plan_source", "source_size", "target", "epochs", F.lit(-1).cast("long").alias("cut"), F.lit(0).cast("long").alias("left")
+    )
+    return cut.unionByName(empty)
+
+
 def mix(
     documents: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -85,25 +111,7 @@ def mix(
         order_key(F.col(f"`{key}`")).alias("key"),
     ).withColumn("bucket", F.shiftright("key", KEY_BITS - bucket_bits))
     sized = checkpoint_table(sized, "mix-sizes")
-    cells = sized.groupBy("source", "bucket").agg(F.sum("size").alias("cell"))
-    goals = targets(cells.groupBy("source").agg(F.sum("cell").alias("source_size")), weights, share, max_epochs)
-    goals = (
-        goals.withColumn("budget", F.round("target").cast("long"))
-        .withColumn("epochs", F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0)))
-        .withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_size"))
-    )
-    below = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    goals = goals.withColumnRenamed("source", "plan_source")
-    summed = cells.withColumn("below", F.coalesce(F.sum("cell").over(below), F.lit(0)))
-    cut = (
-        summed.join(goals, F.col("source").eqNullSafe(F.col("plan_source")))
-        .filter((F.col("below") <= F.col("rest")) & (F.col("rest") < F.col("below") + F.col("cell")))
-        .select("plan_source", "source_size", "target", "epochs", F.col("bucket").alias("cut"), (F.col("rest") - F.col("below")).alias("left"))
-    )
-    empty = goals.filter("source_size = 0").select(
-        "plan_source", "source_size", "target", "epochs", F.lit(-1).cast("long").alias("cut"), F.lit(0).cast("long").alias("left")
-    )
-    plan = checkpoint_table(cut.unionByName(empty), "mix-plan")
+    plan = checkpoint_table(cut_plan(sized, weights, share, max_epochs), "mix-plan")
     rows = sized.join(bounded_broadcast(plan, MAX_BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("plan_source")))
     aside = rows.filter(F.col("bucket") != F.col("cut")).withColumn(
         "taken", F.col("size") * (F.col("epochs") + (F.col("bucket") < F.col("cut")).cast("long"))
@@ -121,37 +129,65 @@ def mix(
     return aside.select(*columns).unionByName(atcut.select(*columns))
 
 
-def mixed_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+def mixed_documents(
+    documents: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE,
+    max_epochs: int = MAX_EPOCHS,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    bucket_bits: int = BUCKET_BITS,
+) -> DataFrame:
     """The documents as the mix takes them, with their own columns: a document taken twice is two rows, one taken
-    in part has its first ``taken`` words joined by one blank, one not taken is left out.
+    in part has its first words joined by one blank, one not taken is left out.
 
-    Empty documents and documents without words carry nothing and are left out. Takes go to rows: null keys and keys that occur more than
-    once are met by key, source and size, and of rows that have all three in common the n-th by text has the n-th largest of their takes.
+    What is taken of a row follows from its source, its place in hash order (key, size and a hash of the whole row break ties) and the row at which the source's
+    budget ends, of which there is one for each source. So takes are a projection over the documents beside a broadcast table of the sources, and
+    no text is shuffled. Rows that equal the last one in every column are the same row: they are counted, and written again from one of them.
+    Cases: empty documents and documents without words carry nothing and are left out; null keys and repeated keys are rows like others; a null
+    source is a source; empty table: no rows; columns keep their names, whatever they are.
     """
-    takes = mix(documents, key=key, text=text, source=source, **options).select(
-        F.col("doc_id").alias("_mix_key"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_words"), F.col("taken").alias("_mix_taken")
-    )
-    same = ("_mix_key", "_mix_source", "_mix_words")
-    # equal takes are one row with the numbers it has: first, last
-    takes = takes.groupBy(*same, "_mix_taken").agg(F.count(F.lit(1)).alias("_mix_rows"))
-    takes = takes.withColumn("_mix_last", F.sum("_mix_rows").over(Window.partitionBy(*same).orderBy(F.col("_mix_taken").desc())))
-    takes = takes.filter("_mix_taken > 0").withColumn("_mix_first", F.col("_mix_last") - F.col("_mix_rows") + 1)
-    size = word_count(F.col(f"`{text}`"))
-    rows = documents.withColumn("_mix_size", size).filter("_mix_size > 0")
-    order = Window.partitionBy(F.col(f"`{key}`"), F.col(f"`{source}`"), "_mix_size").orderBy(F.xxhash64(F.col(f"`{text}`")), F.col(f"`{text}`"))
-    rows = rows.withColumn("_mix_number", F.row_number().over(order))
-    met = (
-        F.col(f"`{key}`").eqNullSafe(F.col("_mix_key"))
-        & F.col(f"`{source}`").eqNullSafe(F.col("_mix_source"))
-        & (F.col("_mix_size") == F.col("_mix_words"))
-        & F.col("_mix_number").between(F.col("_mix_first"), F.col("_mix_last"))
-    )
-    rows = rows.join(takes, met)
-    rows = rows.withColumn("_mix_copy", F.explode(F.expr("sequence(0L, (_mix_taken - 1) div _mix_size)")))
-    words = F.least(F.col("_mix_size"), F.col("_mix_taken") - F.col("_mix_copy") * F.col("_mix_size"))
-    part = F.array_join(F.slice(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"([^\x20\x09-\x0D]+)")), 1, words.cast("int")), " ")
-    cut = F.when(words < F.col("_mix_size"), part).otherwise(F.col(f"`{text}`"))
-    renewed = {text: cut}
-    if "n_chars" in documents.columns:
-        renewed["n_chars"] = F.when(words < F.col("_mix_size"), F.length(part)).otherwise(F.col("n_chars"))
-    return rows.withColumns(renewed).select(*[F.col(f"`{c}`") for c in documents.columns])
+    p = fresh(documents.columns, "_mix")
+    names = ("key", "id", "size", "row")
+    order = order_key(F.col(f"`{key}`"))
+    whole = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if isinstance(f.dataType, (MapType, VariantType)) else F.col(f"`{c}`") for c, f in zip(documents.columns, documents.schema.fields, strict=True)])
+    placed = documents.withColumns(
+        {
+            f"{p}source": F.col(f"`{source}`"), f"{p}key": order, f"{p}id": F.col(f"`{key}`"), f"{p}size": word_count(F.col(f"`{text}`")),
+            f"{p}row": whole, f"{p}bucket": F.shiftright(order, KEY_BITS - bucket_bits),
+        }
+    )
+    sized = checkpoint_table(placed.select(*[F.col(p + n).alias(n) for n in ("source", *names, "bucket")]), "mix-sizes")
+    plan = checkpoint_table(cut_plan(sized, weights, share, max_epochs), "mix-plan")
+    atcut = sized.join(bounded_broadcast(plan, MAX_BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("bucket") == F.col("cut")))
+    # rows of one bucket of each source, equal ones counted first
+    atcut = atcut.filter("size > 0").groupBy("plan_source", "left", *names).agg(F.count(F.lit(1)).alias("copies"))
+    upto = Window.partitionBy("plan_source").orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    atcut = atcut.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(upto), F.lit(0)))
+    last = atcut.filter((F.col("before") <= F.col("left")) & (F.col("left") < F.col("before") + F.col("size") * F.col("copies")))
+    last = last.select(F.col("plan_source").alias("last_source"), F.struct(*names).alias("last"), "copies", (F.col("left") - F.col("before")).alias("words"))
+    goal = plan.join(last, F.col("plan_source").eqNullSafe(F.col("last_source")), "left")
+    goal = checkpoint_table(goal.select(*[F.col(c).alias(p + "_" + c) for c in ("plan_source", "epochs", "cut", "last", "copies", "words")]), "mix-goal")
+    goal = bounded_broadcast(goal, MAX_BROADCAST_SOURCES)
+    rows = placed.join(goal, F.col(f"{p}source").eqNullSafe(F.col(f"{p}_plan_source"))).filter(F.col(f"{p}size") > 0)
+    here = F.struct(*[F.col(p + n).alias(n) for n in names])
+    incut = F.col(f"{p}bucket") == F.col(f"{p}_cut")
+    ends = incut & F.coalesce(here == F.col(f"{p}_last"), F.lit(False))
+    early = (F.col(f"{p}bucket") < F.col(f"{p}_cut")) | (incut & F.coalesce(here < F.col(f"{p}_last"), F.lit(False)))
+    times = F.col(f"{p}_epochs") + early.cast("long")
+    out = [F.col(f"`{c}`") for c in documents.columns]
+    taken = rows.filter(~ends & (times > 0)).withColumn(f"{p}copy", F.explode(F.sequence(F.lit(1).cast("long"), times))).select(*out)
+
+    final = rows.filter(ends).groupBy(f"{p}source", f"{p}size", f"{p}_epochs", f"{p}_copies", f"{p}_words").agg(F.first(F.struct(*out)).alias("row"))
+    size, words = F.col(f"{p}size"), F.col(f"{p}_words")
+    again = F.col(f"{p}_copies") * F.col(f"{p}_epochs") + F.floor(words / size).cast("long")
+    rest = (words % size).cast("int")
+    thousands = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((again - 1) / STEP).cast("long")))
+    copies = final.filter(again > 0).withColumn("again", again).withColumn("block", thousands)
+    copies = copies.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(STEP).cast("long"), F.col("again") - F.col("block") * STEP)))).select("row.*")
+    part = final.filter(rest > 0).select("row.*", rest.alias(f"{p}rest"))
+    body = F.array_join(F.slice(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"([^\x20\x09-\x0D]+)")), 1, F.col(f"{p}rest")), " ")
+    renewed = {text: body} | ({"n_chars": F.length(body).cast(documents.schema["n_chars"].dataType)} if "n_chars" in documents.columns else {})
+    part = part.withColumns(renewed).select(*out)
+    return taken.unionByName(copies).unionByName(part)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsieve.llm.components import components
+from netsieve.llm.rows import fresh, row_id, split_by_ids
 from netsieve.operators.sizing import checkpoint_table
 
 RADIUS = 2
@@ -29,6 +30,7 @@ BLOCK_BITS = 64 // BLOCKS
 QUERIES = 256
 SPLIT_BUCKET = 4096
 PAIR_BATCH = 1 << 16
+HOT_SHARE = 1000  # a fingerprint with more than a row in so many is hot
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -172,16 +174,18 @@ def star_links(values: np.ndarray, tables: np.ndarray, keys: np.ndarray) -> tupl
     return values[linked], values[label[linked]]
 
 
-def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint's 64 bits as a signed number) of every whole text."""
+def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, *also: str) -> DataFrame:
+    """doc_id, further columns of numbers, and fp (the fingerprint's 64 bits as a signed number) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            columns = [batch.column(i) for i in range(batch.num_columns) if i != 1]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(prints.view(np.int64))], names=["doc_id", *also, "fp"])
 
-    rows = documents.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    rows = documents.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), *also)
+    kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", *also)]
+    return rows.mapInArrow(run, ", ".join([*kinds, "fp long"]))
 
 
 def close_links(prints: DataFrame) -> DataFrame:
@@ -229,12 +233,40 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     return prints.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with their own columns, of each group only the one with the smallest key. Rows that repeat key and text are
-    one document; rows with a null key all stay."""
-    groups = near_duplicates(documents, key, text).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    keep = checkpoint_table(groups.select(F.col("doc_id").alias("_kept"), "_rows"), "kept-keys")
-    kept = documents.join(keep.select("_kept"), F.col(f"`{key}`") == F.col("_kept"), "left_semi")
-    if keep.filter("_rows > 1").limit(1).count():  # only then texts are compared
-        kept = kept.dropDuplicates([key, text])
-    return kept.unionByName(documents.filter(F.col(f"`{key}`").isNull()))
+def group_roots(prints: DataFrame) -> DataFrame:
+    """Fingerprints (fp, repeats allowed) -> fp, root: the fingerprint that stands for all that links reach."""
+    nodes = checkpoint_table(prints.select("fp").distinct(), "prints")
+    linked = components(close_links(nodes))
+    return nodes.join(linked, nodes["fp"] == linked["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """The documents with their own columns, of each group of near copies one row: the smallest key (null last), of equal keys the text with the smallest hash,
+    of rows equal in key and text one.
+
+    Rows are judged, not keys: each is known by a hash of key and text, and groups name the ids that go. Texts stay where they are; only rows
+    that are repeated as a whole are aggregated. Cases: null, empty and wordless texts are one group (fingerprint 0), of which one row stays; null and
+    repeated keys are compared like others; very long texts count whole; empty table: no rows; columns keep their names, whatever they are.
+    """
+    own = fresh(documents.columns, "_row")
+    first, second = f"{own}1", f"{own}2"
+    known = documents.withColumns(dict(zip((first, second), row_id(F.col(f"`{key}`"), F.col(f"`{text}`")), strict=True)))
+    rows = known.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(first).alias("id1"), F.col(second).alias("id2"))
+    prints = checkpoint_table(fingerprints(rows, "doc_id", "text", shingle, "id1", "id2"), "fingerprints")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id1", "id2")
+    ids = prints.groupBy("fp", "doc_id", "id1", "id2").agg(F.count(F.lit(1)).alias("n"))
+    ids = checkpoint_table(ids, "row-ids")
+    best = ids.groupBy("fp").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("n"))
+    best = group_roots(best).join(best, "fp")
+    chosen = best.groupBy("root").agg(F.min("best").alias("chosen"), F.sum("n").alias("members"))
+    chosen = checkpoint_table(best.join(chosen, "root").filter("members > 1").select("fp", "chosen.id1", "chosen.id2", "n"), "chosen-rows")
+    hot = ids.count() // HOT_SHARE
+    # prints of a large share of rows meet their few choices by broadcast: at most HOT_SHARE of them
+    pick = chosen.select(F.col("fp").alias("cfp"), F.col("id1").alias("c1"), F.col("id2").alias("c2"), "n")
+    meets = (F.col("fp") == F.col("cfp")) & ~((F.col("id1") == F.col("c1")) & (F.col("id2") == F.col("c2")))
+    few, many = F.broadcast(pick.filter(F.col("n") > hot)), pick.filter(F.col("n") <= hot)
+    gone = ids.join(few, meets, "left_semi").unionByName(ids.join(many, meets, "left_semi")).select(F.col("id1").alias(first), F.col("id2").alias(second)).distinct()
+    again = ids.filter("n > 1").select(F.col("id1").alias(first), F.col("id2").alias(second)).distinct()
+    _, kept = split_by_ids(known, first, second, checkpoint_table(gone, "gone-rows"))
+    repeated, single = split_by_ids(kept, first, second, checkpoint_table(again, "repeated-rows"))
+    return single.unionByName(repeated.dropDuplicates([first, second])).select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -55,14 +55,56 @@ def test_one_of_each_keeps_columns(documents):
     assert sorted(r.doc_id for r in out.collect()) == sorted(firsts)
 
 
-def test_one_of_each_of_odd_rows(odd, empty):
-    prints = [(i, brute_fingerprint(t)) for i, t, _ in odd_rows()]
-    ids = brute_components(prints)
-    kept = {(i, t) for (i, t, _), (_, p) in zip(odd_rows(), prints, strict=True) if i is not None and ids[p] == i}
-    out = simhash.one_of_each(odd).collect()
-    assert Counter((r.doc_id, r.text) for r in out if r.doc_id is not None) == Counter(kept)
-    assert sum(r.doc_id is None for r in out) == sum(i is None for i, *_ in odd_rows())
+def check_one_of_each(frame, rows, **options):
+    """Of each group one row stays: one with the smallest key, null last."""
+    prints = [brute_fingerprint(t) for _, t in rows]
+    link = {p: p for p in prints}
+    for a in link:
+        for b in link:
+            if (a ^ b).bit_count() <= 2:
+                ra, rb = a, b
+                while link[ra] != ra:
+                    ra = link[ra]
+                while link[rb] != rb:
+                    rb = link[rb]
+                link[max(ra, rb)] = min(ra, rb)
+
+    def root(p):
+        while link[p] != p:
+            p = link[p]
+        return p
+
+    groups = {}
+    for (i, t), p in zip(rows, prints, strict=True):
+        groups.setdefault(root(p), []).append((i is None, i or 0, i, t))
+    out = [(r.doc_id, r.text) for r in simhash.one_of_each(frame, **options).collect()]
+    assert len(out) == len(groups)
+    for i, t in out:
+        own = groups.pop(root(brute_fingerprint(t)))
+        assert (i is None, i or 0) == min(own)[:2] and (i, t) in [x[2:] for x in own]
+
+
+def test_one_of_each_of_odd_rows(odd, empty, spark, monkeypatch):
+    check_one_of_each(odd, [(i, t) for i, t, _ in odd_rows()])
     assert simhash.one_of_each(empty).count() == 0
+    same = "the same text that many rows hold, word for word"
+    rows = [(None, same)] * 3 + [(5, same), (5, "another text of key five"), (1, same), (1, same), (None, "alone without a key"), (5, None), (None, "")]
+    rows += [(k, f"text number {k} of its own {k * k}") for k in range(10, 40)] + [(50, f"text number {k} of its own {k * k}") for k in range(10, 20)]
+    frame = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id long, text string, _row1 int, _kept int, id1 int").repartition(4)
+    check_one_of_each(frame, rows)
+    assert simhash.one_of_each(frame).columns == frame.columns
+    monkeypatch.setattr("netsieve.llm.rows.LISTED_ROWS", 0)
+    monkeypatch.setattr(simhash, "HOT_SHARE", 1 << 40)
+    check_one_of_each(frame, rows)
+
+
+def test_one_of_each_moves_no_text(spark, documents):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = simhash.one_of_each(documents.dropDuplicates(["doc_id"]).filter("text IS NOT NULL"))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("strategy=broadcast") == plan.count("Join "), plan
 
 
 def near_numbers(n: int, flips: int, seed: int = 0) -> np.ndarray:

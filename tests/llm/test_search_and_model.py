@@ -169,5 +169,5 @@ def test_pipeline_against_its_parts(spark, small, documents):
 
 def test_queries_are_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n[:2] == "op"} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n[:2] == "op"} == {f"op{i}" for i in range(1, 14)}
     assert set(__spark_entry__.oracle_sql()) <= set(names)

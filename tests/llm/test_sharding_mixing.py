@@ -90,6 +90,32 @@ def test_rows_without_a_key_of_their_own_are_taken_as_the_mix_says(spark):
     assert +got == +want and len(out) <= 2 * len(rows)
 
 
+def test_the_mix_moves_no_text_and_keeps_names(spark):
+    rows = [(i, f"word {i} " * (i % 9 + 1), f"s{i % 3}", i, "x", "y") for i in range(300)] + [(None, "copy of many", "s0", 1, "x", "y")] * 100
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, _mix_size long, rest string, _kept string")
+    out = mixing.mixed_documents(frame, bucket_bits=2)
+    assert out.columns == frame.columns
+    want, got = Counter(), Counter()
+    for r in mixing.mix(frame, bucket_bits=2).collect():
+        want[r.doc_id, r.source] += r.taken
+    for r in out.collect():
+        got[r.doc_id, r.source] += len(r.text.split())
+        assert (r._mix_size, r.rest) in {(x[3], x[4]) for x in rows if x[0] == r.doc_id}
+    assert +got == +want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Window" not in plan, plan
+    for exchange in plan.split("Exchange hashpartitioning")[1:]:
+        assert "_epochs" in exchange.split("\n")[0]  # only the one row of each source at which its budget ends
+
+
+def test_one_row_repeated_by_a_third(spark):
+    rows = [(1, "same words here", "a")] * 3000 + [(i, "some other text", "b") for i in range(10, 4000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(8)
+    for share in (0.3, 1.5):
+        want = sum(r.taken for r in mixing.mix(frame, share=share).collect())
+        assert sum(len(r.text.split()) for r in mixing.mixed_documents(frame, share=share).collect()) == want
+
+
 def test_empty_tables(empty):
     assert sharding.placement(empty).count() == 0
     assert mixing.mix(empty).count() == 0
