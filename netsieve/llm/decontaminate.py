@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsieve.llm import recurrence as R
-from netsieve.llm.toxicity import normal_bytes
+from netsieve.llm.words import normal_bytes
 
 SIMILARITY = 0.8
 REPEATS = 56

@@ -39,6 +39,7 @@ from netsieve.operators.sizing import scratch_path
 
 START = np.uint64(0x6A09E667F3BCC909)
 END = np.uint64(0xBB67AE8584CAA73B)
+HEAD_MARK = np.uint64(0xA5A5A5A55A5A5A5A)
 WORD_BYTES = 32 << 20  # bytes of text for one bucket of words
 PAIR_TOKENS = 4_000_000  # training tokens for one bucket of pairs
 CHUNK_TOKENS = 2_000_000  # tokens that a task counts or scores at once
@@ -51,11 +52,36 @@ def held_out(key: Column, share: int = 7, part: int = 2) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(share)) == part, F.lit(False))
 
 
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+class Spelling(NamedTuple):
+    """Words seen fewer than ``frequent`` times in a stored vocabulary are known by their first ``head`` bytes, so that rare forms of one stem are one token."""
+
+    folder: str
+    frequent: int
+    head: int
+
+    def symbols(self, data: np.ndarray, words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        model = stored_model(self.folder)
+        distinct, at = np.unique(words, return_inverse=True)
+        numbers = model.numbers(distinct)
+        known = np.flatnonzero(numbers >= 0)
+        known = known[np.argsort(numbers[known], kind="stable")]
+        often = np.zeros(len(distinct), bool)
+        often[known] = model.facts("count", numbers[known]) >= self.frequent
+        heads = R.Sums.of(R.BYTE_VALUES[data]).stretches(start, np.minimum(end, start + self.head)) ^ HEAD_MARK
+        return np.where(often[at], words, heads)
+
+
+@lru_cache(maxsize=8)
+def stored_model(folder: str) -> Model:
+    return Model(folder)
+
+
+def tokens(texts: list[bytes], spelling: Spelling | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of start, words and end of each text, one after another, and the edges between texts."""
     parts, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for first, last, data, bounds in R.pieces(texts):
-        words, at, _ = R.word_symbols(data)
+        words, at, until = R.word_symbols(data)
+        words = spelling.symbols(data, words, at, until) if spelling is not None else words
         edges = np.searchsorted(at, bounds)
         n = np.diff(edges)
         out = np.empty(len(words) + 2 * (last - first), np.uint64)
@@ -227,23 +253,30 @@ def _table(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
 WORD_ROWS = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())])
 WORD_SUMS = pa.schema([("bucket", pa.int32()), ("words", pa.int64()), ("tokens", pa.int64()), ("distinct", pa.int64()), ("start", pa.binary()), ("parts", pa.binary())])
 PAIR_ROWS = pa.schema([("bucket", pa.int32()), ("word", pa.binary()), ("before", pa.binary()), ("counts", pa.binary())])
-FACT_FIELDS = ("numbers", "once", "twice", "more", "words", "before", "t")
-FACT_ROWS = pa.schema([("bucket", pa.int32()), *[(k, pa.binary()) for k in FACT_FIELDS]])
 SUM_FIELDS = ("k", "q1", "q2", "q3", "q4", "t1", "t2", "t3", "t4")
-SUM_ROWS = pa.schema([("bucket", pa.int32()), *[(k, pa.int64()) for k in SUM_FIELDS]])
 DDL = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary"}
 
 
+def fact_rows(caps: tuple[int, ...]) -> pa.Schema:
+    """What a bucket of pairs tells of words; with ``caps``, also sums of counts up to each cap."""
+    names = ("numbers", "once", "twice", "more", *[f"upto{d}" for d in caps], "words", "before", "t")
+    return pa.schema([("bucket", pa.int32()), *[(k, pa.binary()) for k in names]])
+
+
+def sum_rows(caps: tuple[int, ...]) -> pa.Schema:
+    return pa.schema([("bucket", pa.int32()), *[(k, pa.int64()) for k in (*SUM_FIELDS, *[f"upto{d}" for d in caps])]])
+
+
 def ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {DDL[f.type]}" for f in schema)
 
 
-def count_words(texts: DataFrame, folder: str, n_buckets: int, pair_tokens: int) -> DataFrame:
+def count_words(texts: DataFrame, folder: str, n_buckets: int, pair_tokens: int, spelling: Spelling | None = None) -> DataFrame:
     """Writes words and counts of every bucket; a row for each bucket with its size and how its pairs are dealt."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, own in chunks(batches, 0):
-            hashes, counts = np.unique(tokens(own)[0], return_counts=True)
+            hashes, counts = np.unique(tokens(own, spelling)[0], return_counts=True)
             rows = [{"bucket": b, "hashes": hashes[x:y].tobytes(), "counts": pack(counts[x:y])} for b, x, y in _slices(R.buckets_of(hashes, n_buckets))]
             yield _table(rows, WORD_ROWS)
 
@@ -267,13 +300,15 @@ def count_words(texts: DataFrame, folder: str, n_buckets: int, pair_tokens: int)
     return texts.mapInArrow(name, ddl(WORD_ROWS)).groupBy("bucket").applyInArrow(settle, ddl(WORD_SUMS))
 
 
-def count_pairs(texts: DataFrame, folder: str) -> DataFrame:
+def count_pairs(texts: DataFrame, folder: str, spelling: Spelling | None = None, caps: tuple[int, ...] = ()) -> DataFrame:
     """Writes the pairs of every bucket, then what they tell of words; a row of sums for each bucket of words."""
 
+    levels = ("once", "twice", "more", *[f"upto{d}" for d in caps])
+
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(folder)
         for _, own in chunks(batches, 0):
-            sequence, edges = tokens(own)
+            sequence, edges = tokens(own, spelling)
             distinct, at = np.unique(sequence, return_inverse=True)
             second = np.ones(len(at), bool)
             second[edges[:-1]] = False
@@ -302,28 +337,28 @@ def count_pairs(texts: DataFrame, folder: str) -> DataFrame:
         before = (keys & ((np.uint64(1) << FIRST_BITS) - np.uint64(1))).astype(np.int64)
         r = np.searchsorted(plan.bucket, b, side="right") - 1
         words, befores = _grouped((keys >> FIRST_BITS).astype(np.int64) + plan.start[r], np.ones(len(keys), np.int64))
-        levels = [_grouped(before, which.astype(np.int64)) for which in (counts == 1, counts == 2, counts > 2)]
-        numbers = levels[0][0]
+        told = [_grouped(before, part.astype(np.int64)) for part in (counts == 1, counts == 2, counts > 2, *[np.minimum(counts, d) for d in caps])]
+        numbers = told[0][0]
         at = np.searchsorted(numbers, plan.first)
         own = int(np.searchsorted(plan.first, plan.start[r], side="right") - 1)
         rows = [
             {"bucket": int(w), "numbers": pack(numbers[at[w] : at[w + 1]] - plan.first[w])}
-            | {k: pack(levels[i][1][at[w] : at[w + 1]]) for i, k in enumerate(("once", "twice", "more"))}
+            | {k: pack(told[i][1][at[w] : at[w + 1]]) for i, k in enumerate(levels)}
             for w in np.flatnonzero(np.diff(at))
         ]
         rows.append({"bucket": own, "words": pack(words - plan.first[own]), "before": pack(befores), "t": pack(np.array([(counts == k).sum() for k in (1, 2, 3, 4)]))})
-        return pa.Table.from_pylist(rows, FACT_ROWS)
+        return pa.Table.from_pylist(rows, fact_rows(caps))
 
     def gather(group: pa.Table) -> pa.Table:
         plan = Model(folder).plan
         b = group.column("bucket")[0].as_py()
         size = int(plan.first[b + 1] - plan.first[b])
-        facts = {k: np.zeros(size, np.int64) for k in ("once", "twice", "more", "before")}
+        facts = {k: np.zeros(size, np.int64) for k in (*levels, "before")}
         t = np.zeros(4, np.int64)
         for row in group.to_pylist():
             if row["numbers"] is not None:  # numbers of one row are distinct
                 at = unpack(row["numbers"])
-                for k in ("once", "twice", "more"):
+                for k in levels:
                     facts[k][at] += unpack(row[k])
             else:
                 facts["before"][unpack(row["words"])] += unpack(row["before"])
@@ -331,15 +366,23 @@ def count_pairs(texts: DataFrame, folder: str) -> DataFrame:
         for k, values in facts.items():
             put(folder, f"{k}-{b}", narrow(values))
         k = facts["before"]
-        sums = [int(k.sum()), *[int((k == n).sum()) for n in (1, 2, 3, 4)], *t.tolist()]
-        return pa.table({"bucket": [b]} | {f: [v] for f, v in zip(SUM_FIELDS, sums, strict=True)}, schema=SUM_ROWS)
-
-    rows = texts.mapInArrow(name, ddl(PAIR_ROWS)).groupBy("bucket").applyInArrow(settle, ddl(FACT_ROWS))
-    return rows.groupBy("bucket").applyInArrow(gather, ddl(SUM_ROWS))
-
-
-def fit(documents: DataFrame, text: str = "text", word_bytes: int = WORD_BYTES, pair_tokens: int = PAIR_TOKENS) -> str:
-    """Counts the model of all texts and returns its folder. The driver gets a row for each bucket of words (sizes, and 12 bytes for each bucket of
+        sums = [int(k.sum()), *[int((k == n).sum()) for n in (1, 2, 3, 4)], *t.tolist(), *[int(np.minimum(k, d).sum()) for d in caps]]
+        return pa.table({f: [v] for f, v in zip(sum_rows(caps).names, [b, *sums], strict=True)}, schema=sum_rows(caps))
+
+    rows = texts.mapInArrow(name, ddl(PAIR_ROWS)).groupBy("bucket").applyInArrow(settle, ddl(fact_rows(caps)))
+    return rows.groupBy("bucket").applyInArrow(gather, ddl(sum_rows(caps)))
+
+
+def fit(
+    documents: DataFrame,
+    text: str = "text",
+    word_bytes: int = WORD_BYTES,
+    pair_tokens: int = PAIR_TOKENS,
+    spelling: Spelling | None = None,
+    only_words: bool = False,
+    caps: tuple[int, ...] = (),
+) -> str:
+    """Counts the model of all texts (with ``only_words`` just its words) and returns its folder. ``caps`` are absolute discounts that it may be asked with. The driver gets a row for each bucket of words (sizes, and 12 bytes for each bucket of
     pairs), which it writes into the folder as well. Every task writes whole files under fixed names, so it can be repeated."""
     body = F.col(f"`{text}`").cast("string").alias("text")
     texts = documents.select(body)
@@ -347,7 +390,7 @@ def fit(documents: DataFrame, text: str = "text", word_bytes: int = WORD_BYTES,
     os.makedirs(folder)
     total = texts.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
     n_buckets = max(8, math.ceil(total / word_bytes))
-    found = {r.bucket: r for r in count_words(texts, folder, n_buckets, pair_tokens).collect()}
+    found = {r.bucket: r for r in count_words(texts, folder, n_buckets, pair_tokens, spelling).collect()}
     sizes = [found[b].words if b in found else 0 for b in range(n_buckets)]
     first = np.r_[0, np.cumsum(sizes)].astype(np.int64)
     some = sorted(found)
@@ -356,8 +399,10 @@ def fit(documents: DataFrame, text: str = "text", word_bytes: int = WORD_BYTES,
     bucket = np.r_[0, np.cumsum(parts)[:-1]].astype(np.int64)
     for name, values in zip(Plan._fields, (first, start, bucket, parts), strict=True):
         put(folder, f"plan-{name}", values)
-    rows = count_pairs(texts, folder).collect()
-    sums = {f: sum(r[f] for r in rows) for f in SUM_FIELDS}
+    if only_words:
+        return folder
+    rows = count_pairs(texts, folder, spelling, caps).collect()
+    sums = {f: sum(r[f] for r in rows) for f in sum_rows(caps).names[1:]}
     sums |= {"tokens": sum(r.tokens for r in found.values()), "distinct": sum(r.distinct for r in found.values())}
     sums |= {"D": discounts([sums[f"t{k}"] for k in (1, 2, 3, 4)]), "E": discounts([sums[f"q{k}"] for k in (1, 2, 3, 4)])}
     with open(f"{folder}/sums.json", "w", encoding="utf-8") as file:
@@ -365,45 +410,64 @@ def fit(documents: DataFrame, text: str = "text", word_bytes: int = WORD_BYTES,
     return folder
 
 
-def log_scores(model: Model, sums: dict, sequence: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, ...]:
-    """n_tokens, n_known, base_score, score of each text of ``tokens``."""
+class Law(NamedTuple):
+    """What a model says of distinct tokens and of pairs of them: P(w) = own(w) + spare x 1 / (V + 1), P(w | v) = direct(v, w) + back(v) x P(w)."""
+
+    count: np.ndarray
+    own: np.ndarray
+    spare: float
+    back: np.ndarray
+    direct: np.ndarray
+
+    @classmethod
+    def of(cls, model: Model, sums: dict, distinct: np.ndarray, before: np.ndarray, word: np.ndarray, cap: int | None = None) -> Law:
+        """``before`` and ``word`` are places in ``distinct``, one of each for a pair. With ``cap``, counts are discounted by as much of them as is within it."""
+        numbers = model.numbers(distinct)
+        known = numbers >= 0
+        order = np.argsort(numbers[known], kind="stable")
+        facts = {}
+        for name in ("count", "before", *(("once", "twice", "more") if cap is None else (f"upto{cap}",))):
+            values, own = np.zeros(len(distinct), np.int64), np.empty(len(order), np.int64)
+            own[order] = model.facts(name, numbers[known][order])
+            values[known] = own
+            facts[name] = values
+        d, e, k, count = np.array(sums["D"]), np.array(sums["E"]), facts["before"], facts["count"]
+        less = (lambda c, law: law[np.minimum(c, 3)]) if cap is None else (lambda c, law: np.minimum(c, cap))
+        if cap is None:
+            spare = e[1] * sums["q1"] + e[2] * sums["q2"] + e[3] * (sums["distinct"] - sums["q1"] - sums["q2"])
+            spread = d[1] * facts["once"] + d[2] * facts["twice"] + d[3] * facts["more"]
+        else:
+            spare, spread = sums[f"upto{cap}"], facts[f"upto{cap}"]
+        spare = spare / sums["k"] if sums["k"] else 1.0
+        own = (k - less(k, e)) / max(sums["k"], 1)
+        back = np.where(count > 0, spread / np.maximum(count, 1), 1.0)
+        direct = np.zeros(len(before))
+        both = known[before] & known[word]
+        c = model.times(numbers[before[both]], numbers[word[both]])
+        direct[both] = (c - less(c, d)) / np.maximum(count[before[both]], 1)
+        return cls(count, own, spare, back, direct)
+
+
+def pairs_of(sequence: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct tokens; distinct pairs as places in them (before, word); for each token but the starts its pair; and where each text's begin."""
     distinct, at = np.unique(sequence, return_inverse=True)
-    numbers = model.numbers(distinct)
-    known = numbers >= 0
-    facts = {}
-    order = np.argsort(numbers[known], kind="stable")
-    for name in ("count", "before", "once", "twice", "more"):
-        values = np.zeros(len(distinct), np.int64)
-        own = np.empty(len(order), np.int64)
-        own[order] = model.facts(name, numbers[known][order])
-        values[known] = own
-        facts[name] = values
-    n, v = sums["tokens"], sums["distinct"]
-    d, e = np.array(sums["D"]), np.array(sums["E"])
-    k = facts["before"]
-    if sums["k"]:
-        spare = (e[1] * sums["q1"] + e[2] * sums["q2"] + e[3] * (v - sums["q1"] - sums["q2"])) / sums["k"]
-        single = (k - e[np.minimum(k, 3)]) / sums["k"] + spare / (v + 1)
-    else:
-        single = np.full(len(distinct), 1 / (v + 1))
-    context = facts["count"]
-    back = np.where(context > 0, (d[1] * facts["once"] + d[2] * facts["twice"] + d[3] * facts["more"]) / np.maximum(context, 1), 1.0)
     second = np.ones(len(at), bool)
     second[edges[:-1]] = False
     place = np.flatnonzero(second)
     code, pair = np.unique(at[place - 1] * len(distinct) + at[place], return_inverse=True)
-    v_, w_ = code // len(distinct), code % len(distinct)
-    direct = np.zeros(len(code))
-    both = known[v_] & known[w_]
-    c = model.times(numbers[v_[both]], numbers[w_[both]])
-    direct[both] = (c - d[np.minimum(c, 3)]) / np.maximum(context[v_[both]], 1)
-    logs = np.log10(direct + back[v_] * single[w_])
-    counts = np.where(distinct == START, 0, facts["count"])
+    return distinct, code // max(len(distinct), 1), code % max(len(distinct), 1), pair, edges[:-1] - np.arange(len(edges) - 1)
+
+
+def log_scores(model: Model, sums: dict, sequence: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, ...]:
+    """n_tokens, n_known, base_score, score of each text of ``tokens``."""
+    distinct, before, word, pair, first = pairs_of(sequence, edges)
+    law = Law.of(model, sums, distinct, before, word)
+    n, v = sums["tokens"], sums["distinct"]
+    logs = np.log10(law.direct + law.back[before] * (law.own + law.spare / (v + 1))[word])
+    counts = np.where(distinct == START, 0, law.count)
     base = np.log10((counts + 1) / (n + 1 * (v + 1)))
-    word = at[place]
-    first = edges[:-1] - np.arange(len(edges) - 1)  # each text has one start, which is no token
-    add = np.add.reduceat
-    return np.diff(edges) - 1, add((counts > 0)[word].astype(np.int64), first), add(base[word], first), add(logs[pair], first)
+    at, add = word[pair], np.add.reduceat
+    return np.diff(edges) - 1, add((counts > 0)[at].astype(np.int64), first), add(base[at], first), add(logs[pair], first)
 
 
 def score(documents: DataFrame, folder: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,21 +1,23 @@
-"""Toxicity by two Kneser-Ney bigram models, one of toxic and one of ordinary documents, that share their backoff counts.
+"""Toxicity by two Kneser-Ney bigram models, one of toxic and one of ordinary documents, over backoff counts that both share.
 
 For a class c, a word w after v has
-    P_c(w | v) = (n_c(v, w) - D) / n_c(v) + backoff_c(v) * P_c(w)
-    P_c(w) = (k_c(w) - D) / K_c + back_c * k(w) / K
-with k_c(w) the number of different words before w in the class, and k(w) the number of classes that have w, the continuation
-count of the next order: both classes share it, so a rare expression that one class lacks costs that class no more than any other rare one.
-Discounts D are those of counts of 1, 2 and more, estimated from counts of counts. A word's evidence is log P_toxic - log P_ordinary. Evidence is averaged over the document and over each stretch
-of ``STRETCH`` words (all stretches, so that a long text with one insult is seen), and a logistic curve on the two turns it into a score.
-
-Counts come from all labelled documents that are not held out, but those that fit the curve, by Spark aggregations. Only the fit of the logistic
-curve is bounded: it takes its documents from at most ``MAX_TRAIN`` of each class, chosen by a hash of their keys. Pairs of every count make the
-continuation counts; the model, which is broadcast, has a direct term for pairs of ``LEAST_COUNT`` occurrences or more. Every document is scored, over its whole text.
+    P_c(w | v) = (n_c(v, w) - min(n_c(v, w), D)) / n_c(v) + g_c(v) * (OWN * P_c(w) + (1 - OWN) * P(w | v))
+    P_c(w)     = (k_c(w) - min(k_c(w), D)) / K_c         + g_c    * P(w)
+with n counts, k numbers of different words before w, g what the discounts left, and P(w | v), P(w) the modified Kneser-Ney law of both classes
+together. Every pair counts. A rare expression costs both classes the same but for what one of them has seen of it beyond the discount D, an absolute
+one as in the first form of the method, which is not taken from counts of counts but fitted: of ``DISCOUNTS``, the one under which the documents set aside are judged best.
+
+A word's evidence is log P_toxic - log P_ordinary. It is averaged over the document and over each stretch of ``STRETCH`` words (all stretches,
+so that a long text with one insult is seen), and a logistic curve on the two turns it into a score.
+
+The three models are those of ``ngrams``: counted in Spark from all labelled documents that are not held out (but those that fit the curve), stored as
+sorted arrays in the shared folder and mapped by the workers. Nothing of them passes through the driver or a broadcast. Only the fit of the
+logistic curve is bounded: it takes its documents from at most ``MAX_TRAIN`` of each class, chosen by a hash of their keys. Texts stay where
+they are: labels go to them, by broadcast up to ``LISTED_ROWS`` keys; beyond, a bit table sets apart the labelled texts, and only those are shuffled.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -24,80 +26,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netsieve.llm import recurrence as R
+from netsieve.llm import ngrams, rows
+from netsieve.llm.words import PUNCTUATION
 from netsieve.operators.sizing import checkpoint_table
 
 MAX_TRAIN = 3000
 STRETCH = 6
-FREQUENT = 20  # occurrences in the training texts from which a word is a symbol of its own
-HEAD = 5
+FREQUENT = 20  # occurrences in the training texts from which a word is a token of its own
+HEAD = 5  # bytes by which other words are known
+OWN = 0.9  # share of the class's own words in its backoff
+DISCOUNTS = (2, 4, 8, 16, 32, 64)
 THRESHOLD = 0.7
-LEAST_COUNT = 60  # occurrences from which a pair of symbols counts as such; rarer ones fall back
 CALIBRATION_SHARE = 4  # one of so many documents of the bounded sample is for the logistic curve
-PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
-HEAD_MARK = np.uint64(0xA5A5A5A55A5A5A5A)
-START = np.uint64(0x5851F42D4C957F2D)
 
 
-def normal_bytes(text: str | None) -> bytes:
-    """Lower case, without ASCII punctuation."""
-    return (text or "").lower().encode("utf-8", "surrogatepass").translate(None, PUNCTUATION)
-
-
-def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return R.mixed(before * np.uint64(R.BASE) + word)
-
-
-def symbol_batches(texts: list[bytes], frequent: np.ndarray):
-    """For consecutive texts: (first, last, symbols, edges of each text's symbols). A symbol is the hash of a frequent word, or of the first
-    ``HEAD`` bytes of another, so that rare forms of one stem are counted together."""
-    for first, last, data, bounds in R.pieces(texts):
-        words, start, end = R.word_symbols(data)
-        heads = R.Sums.of(R.BYTE_VALUES[data]).stretches(start, np.minimum(end, start + HEAD)) ^ HEAD_MARK
-        yield first, last, np.where(_known(frequent, words), words, heads), np.searchsorted(start, bounds)
-
-
-def _known(ranked: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    if not len(ranked):
-        return np.zeros(len(wanted), bool)
-    return ranked[np.minimum(np.searchsorted(ranked, wanted), len(ranked) - 1)] == wanted
-
-
-def previous(words: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    before = np.r_[START, words[:-1]] if len(words) else words
-    before[edges[:-1][edges[:-1] < len(words)]] = START
-    return before
-
-
-class Model(NamedTuple):
-    """Sorted hashes with, for (toxic, ordinary): discounted bigrams, backoff weights of the word before, word probabilities."""
-
-    pairs: np.ndarray
-    pair_values: np.ndarray
-    befores: np.ndarray
-    before_values: np.ndarray
-    words: np.ndarray
-    word_values: np.ndarray
-    frequent: np.ndarray
-    unknown: tuple[float, float]
-    curve: tuple[float, float, float]
-
-    def evidence(self, words: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        before = previous(words, edges)
-        direct = _look_up(self.pairs, self.pair_values, pair_hash(before, words), (0.0, 0.0))
-        backoff = _look_up(self.befores, self.before_values, before, (1.0, 1.0))
-        p = direct + backoff * _look_up(self.words, self.word_values, words, self.unknown)
-        return np.log(p[:, 0]) - np.log(p[:, 1])
-
-
-def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: tuple[float, float]) -> np.ndarray:
-    out = np.empty((len(wanted), 2))
-    out[:] = missing
-    if len(keys):
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        hit = keys[at] == wanted
-        out[hit] = values[at[hit]]
-    return out
+def plain_words(text: Column) -> Column:
+    """Lower case, without ASCII punctuation; empty for null."""
+    return F.translate(F.lower(F.coalesce(text.cast("string"), F.lit(""))), PUNCTUATION.decode(), "")
 
 
 def summaries(evidence: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -113,46 +58,52 @@ def summaries(evidence: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return out
 
 
-def discounted(counts: np.ndarray, of_counts: list[int] | None = None) -> np.ndarray:
-    """Counts less the discounts of counts of 1, 2 and more, which the counts of counts (of 1 to 4) give; 0 stays 0."""
-    n1, n2, n3, n4 = (max(1.0, float(n)) for n in of_counts or [(counts == k).sum() for k in (1, 2, 3, 4)])
-    y = n1 / (n1 + 2 * n2)
-    less = np.clip([0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.5, 0.75, 1.0], [0, 0.95, 1.75, 2.5])
-    return counts - less[np.minimum(counts, 3).astype(int)]
-
-
-def train_model(counts: DataFrame, frequent: np.ndarray) -> Model:
-    """Model of the counts (before, word, toxic, ordinary) of all bigrams of the training texts; the curve is still flat. All pairs are summed in
-    Spark; the driver gets a row for each symbol and for each pair of ``LEAST_COUNT`` occurrences."""
-    sides = ("toxic", "ordinary")
-
-    def table(rows: DataFrame, name: str) -> tuple[np.ndarray, np.ndarray]:
-        found = rows.toArrow()
-        symbols = found.column(name).to_numpy().view(np.uint64)
-        order = np.argsort(symbols, kind="stable")
-        return symbols[order], np.stack([found.column(c).to_numpy() for c in sides], 1).astype(float)[order]
-
-    of_counts = counts.agg(*[F.count_if(F.col(c) == k) for c in sides for k in (1, 2, 3, 4)]).first()
-    befores, total = table(counts.groupBy("before").agg(*[F.sum(c).alias(c) for c in sides]), "before")
-    words, after = table(counts.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in sides]), "word")
-    strong = counts.filter(F.col("toxic") + F.col("ordinary") >= LEAST_COUNT).toArrow()
-    before = strong.column("before").to_numpy().view(np.uint64)
-    word = strong.column("word").to_numpy().view(np.uint64)
-    n = np.stack([strong.column(c).to_numpy() for c in sides], 1).astype(float)
-    b = np.searchsorted(befores, before)
-    less = np.stack([discounted(n[:, c], list(of_counts[4 * c : 4 * c + 4])) for c in (0, 1)], 1)
-    direct = less / np.maximum(total, 1)[b]
-    backoff = 1 - np.stack([np.bincount(b, direct[:, c], len(befores)) for c in (0, 1)], 1)
-    own = np.stack([discounted(after[:, c]) for c in (0, 1)], 1) / np.maximum(after.sum(0), 1)
-    left = 1 - own.sum(0)
-    left = np.where(left > 0, left, 1.0)
-    classes = (after > 0).sum(1)
-    all_classes = classes.sum() + 1  # one for words that neither has
-    probability = own + left * (classes / all_classes)[:, None]
-    unknown = left / all_classes
-    pairs = pair_hash(before, word)
-    order = np.argsort(pairs)
-    return Model(pairs[order], direct[order], befores, backoff, words, probability, frequent, (float(unknown[0]), float(unknown[1])), (0.0, 1.0, 0.0))
+class Fitted(NamedTuple):
+    """Folders of the models (toxic, ordinary, both), how words are spelled in them, the discount, and the curve (constant, stretch, document)."""
+
+    folders: list[str]
+    spelling: ngrams.Spelling
+    discount: int
+    curve: tuple[float, float, float]
+
+
+def word_evidence(models: list[tuple[ngrams.Model, dict]], texts: list[bytes], discounts: tuple[int, ...], spelling: ngrams.Spelling | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Evidence of every word of the texts under (toxic, ordinary, both), one array for each discount, and the edges of texts."""
+    sequence, edges = ngrams.tokens(texts, spelling)
+    distinct, before, word, pair, first = ngrams.pairs_of(sequence, edges)
+    both = ngrams.Law.of(*models[2], distinct, before, word)
+    single = both.own + both.spare / (models[2][1]["distinct"] + 1)
+    shared = both.direct + both.back[before] * single[word]
+    last = np.r_[first[1:], len(pair)] - 1  # the end of each text is no word
+    out = []
+    for cap in discounts:
+        laws = [ngrams.Law.of(*model, distinct, before, word, cap) for model in models[:2]]
+        logs = [np.log(c.direct + c.back[before] * (OWN * (c.own + c.spare * single)[word] + (1 - OWN) * shared)) for c in laws]
+        out.append(np.delete((logs[0] - logs[1])[pair], last))
+    return out, np.r_[first, len(pair)] - np.arange(len(first) + 1)
+
+
+def evidence(documents: DataFrame, fitted: Fitted, discounts: tuple[int, ...] | None = None) -> DataFrame:
+    """doc_id, and stretch and mean under each discount (stretch0, mean0, ...), of rows (doc_id, text) of plain words."""
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    asked = discounts or (fitted.discount,)
+    names = [f"{n}{i}" for i in range(len(asked)) for n in ("stretch", "mean")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = [(m, m.sums()) for m in map(ngrams.Model, fitted.folders)]
+        for table, texts in ngrams.chunks(batches, 1):
+            found, edges = word_evidence(models, texts, asked, fitted.spelling)
+            columns = [pa.array(c) for one in found for c in summaries(one, edges).T.copy()]
+            yield pa.RecordBatch.from_arrays([table.column("doc_id").combine_chunks(), *columns], names=["doc_id", *names])
+
+    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} double" for n in names))
+
+
+def lost(curve: tuple[float, float, float], x: np.ndarray, y: np.ndarray) -> float:
+    """Mean logistic loss, both classes weighing the same."""
+    z = np.clip(curve[0] + x @ np.array(curve[1:]), -30, 30)
+    loss = np.log1p(np.exp(np.where(y, -z, z)))
+    return float(loss[y].mean() + loss[~y].mean())
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float, float]:
@@ -188,74 +139,61 @@ def curve_keys(keys: DataFrame, max_train: int) -> DataFrame:
     return parts[0].unionByName(parts[1]).filter(F.pmod("place", F.lit(CALIBRATION_SHARE)) == 0).select("train_key", F.lit(True).alias("aside"))
 
 
-def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN) -> Model:
-    """The model of the labelled documents that are not held out. Without documents of one class every score is 0.5."""
+def labelled(documents: DataFrame, keys: DataFrame, key: str, text: str) -> DataFrame:
+    """text (plain words), toxic, aside of the documents whose key is in the stored table ``keys``."""
+    found = documents.select(F.col(f"`{key}`").alias("train_key"), F.col(f"`{text}`").alias("text"))
+    if keys.count() <= rows.LISTED_ROWS:
+        keys = F.broadcast(keys)
+    else:
+        first, second = rows.row_id(F.col("train_key"))
+        ids = checkpoint_table(keys.select(first.alias("id1"), second.alias("id2")), "toxic-ids")
+        found, _ = rows.split_by_ids(found.withColumns({"id1": first, "id2": second}), "id1", "id2", ids)
+    return found.join(keys, "train_key").select(plain_words(F.col("text")).alias("text"), "toxic", "aside")
+
+
+def fit(
+    documents: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    max_train: int = MAX_TRAIN,
+    frequent: int = FREQUENT,
+    head: int = HEAD,
+) -> Fitted:
+    """The three models of the labelled documents that are not held out, and the curve. Without labels every score is 0.5."""
     keys = checkpoint_table(training_keys(labels, key, label), "toxic-labels")
     keys = keys.join(F.broadcast(curve_keys(keys, max_train)), "train_key", "left")
     keys = checkpoint_table(keys.select("train_key", "toxic", F.coalesce("aside", F.lit(False)).alias("aside")), "toxic-keys")
-    rows = documents.select(F.col(f"`{key}`").alias("train_key"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = rows.join(keys, "train_key").select("text", "toxic", "aside")
-    rows = checkpoint_table(rows, "toxic-train")
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, _ in R.pieces([normal_bytes(t.as_py()) for t in batch.column(0)]):
-                words, n = np.unique(R.word_symbols(data)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])
-
-    words = rows.filter("not aside").select("text").mapInArrow(spell, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    frequent = np.sort(words.filter(F.col("n") >= FREQUENT).select("word").toArrow().column("word").to_numpy().view(np.uint64))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [normal_bytes(t.as_py()) for t in batch.column(0)]
-            toxic = np.array(batch.column(1).to_pylist(), bool)
-            for first, last, words, edges in symbol_batches(texts, frequent):
-                before = previous(words, edges)
-                flags = np.repeat(toxic[first:last], np.diff(edges))
-                both = np.stack([before, words, flags.astype(np.uint64)], 1)
-                keys, n = np.unique(both, axis=0, return_counts=True)
-                bad = keys[:, 2] == 1
-                columns = (keys[:, 0].copy().view(np.int64), keys[:, 1].copy().view(np.int64), np.where(bad, n, 0), np.where(bad, 0, n))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["before", "word", "toxic", "ordinary"])
-
-    counted = rows.filter("not aside").select("text", "toxic").mapInArrow(count, "before long, word long, toxic long, ordinary long")
-    counted = counted.groupBy("before", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    model = train_model(checkpoint_table(counted, "toxic-pairs"), frequent)
-    sample = evidence(rows.filter("aside").select(F.col("toxic").cast("long").alias("doc_id"), "text"), model).toArrow()
+    train = labelled(documents, keys, key, text)
+    parts = [train.filter(cond) for cond in ("NOT aside AND toxic = 1", "NOT aside AND toxic <> 1", "NOT aside")]
+    spelling = ngrams.Spelling(ngrams.fit(parts[2], only_words=True), frequent, head)
+    folders = [ngrams.fit(part, spelling=spelling, caps=DISCOUNTS if part is not parts[2] else ()) for part in parts]
+    fitted = Fitted(folders, spelling, DISCOUNTS[0], (0.0, 0.0, 0.0))
+    sample = train.filter("aside").select(F.col("toxic").cast("long").alias("doc_id"), "text")
+    sample = evidence(sample, fitted, DISCOUNTS).toArrow()
     y = sample.column("doc_id").to_numpy() == 1
     if not len(y) or y.all() or not y.any():
-        return model._replace(curve=(0.0, 1.0, 0.0)) if len(y) else model._replace(curve=(0.0, 0.0, 0.0))
-    return model._replace(curve=fit_curve(np.stack([sample.column("stretch").to_numpy(), sample.column("mean").to_numpy()], 1), y))
-
-
-def evidence(rows: DataFrame, model: Model) -> DataFrame:
-    """doc_id, stretch, mean of rows (doc_id, text)."""
-    shared = rows.sparkSession.sparkContext.broadcast(pickle.dumps(tuple(model)))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*pickle.loads(shared.value))
-        for batch in batches:
-            texts = [normal_bytes(t.as_py()) for t in batch.column(1)]
-            out = np.zeros((len(texts), 2))
-            for first, last, words, edges in symbol_batches(texts, own.frequent):
-                out[first:last] = summaries(own.evidence(words, edges), edges)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[:, 0]), pa.array(out[:, 1])], names=["doc_id", "stretch", "mean"])
-
-    return rows.mapInArrow(run, f"doc_id {kind}, stretch double, mean double")
+        return fitted._replace(curve=(0.0, 1.0, 0.0)) if len(y) else fitted
+    tried = []
+    for i, cap in enumerate(DISCOUNTS):
+        x = np.stack([sample.column(f"stretch{i}").to_numpy(), sample.column(f"mean{i}").to_numpy()], 1)
+        curve = fit_curve(x, y)
+        tried.append((lost(curve, x, y), cap, curve))
+    _, cap, curve = min(tried)
+    return fitted._replace(discount=cap, curve=curve)
 
 
-def toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN) -> DataFrame:
+def toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", **options) -> DataFrame:
     """doc_id, held_out, score, predicted of every document.
 
     Cases: null, empty and wordless texts have evidence 0 and the score that goes with it; null keys stay and are not held out; repeated
-    rows stay; empty tables: no rows, or scores of 0.5 without labels.
+    rows stay; texts count whole; ties cannot occur; further columns are left out; empty tables: no rows, or scores of 0.5 without labels.
     """
-    model = fit(documents, labels, key, text, label, max_train)
-    rows = documents.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    constant, stretch, mean = model.curve
-    linear = F.lit(constant) + F.lit(stretch) * F.col("stretch") + F.lit(mean) * F.col("mean")
+    fitted = fit(documents, labels, key, text, label, **options)
+    constant, stretch, mean = fitted.curve
+    found = evidence(documents.select(F.col(f"`{key}`").alias("doc_id"), plain_words(F.col(f"`{text}`")).alias("text")), fitted)
+    linear = F.lit(constant) + F.lit(stretch) * F.col("stretch0") + F.lit(mean) * F.col("mean0")
     score = F.lit(1.0) / (F.lit(1.0) + F.exp(-linear))
-    out = evidence(rows, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
+    out = found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

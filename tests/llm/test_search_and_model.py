@@ -1,16 +1,19 @@
 """Decontamination, toxicity and the pipeline."""
 
+import math
 import random
 import zlib
 from collections import Counter
 
 import __spark_entry__
 import corpus_pipeline
+import numpy as np
 from conftest import odd_rows
+from pyspark.sql import functions as F
 from test_sharding_mixing import brute_mix
 
-from netsieve.llm import decontaminate, mixing, quality, simhash, toxicity
-from netsieve.llm.toxicity import normal_bytes
+from netsieve.llm import decontaminate, mixing, ngrams, quality, simhash, toxicity
+from netsieve.llm.words import normal_bytes
 
 
 def free_ends(item, text):
@@ -130,15 +133,81 @@ def test_rows_without_a_key_of_their_own_are_judged_by_their_text(spark):
     assert decontaminate.clean_documents(frame, spark.createDataFrame([], "item_id long, text string")).count() == len(rows)
 
 
-def test_counts_come_from_all_labelled_documents(spark, monkeypatch):
+def test_counts_come_from_all_labelled_documents(spark):
     rows = [(i, f"word{i} and then{i % 7} some more") for i in range(300)]
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
-    seen, train = [], toxicity.train_model
-    monkeypatch.setattr(toxicity, "train_model", lambda counts, frequent: seen.append(counts) or train(counts, frequent))
-    toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels, max_train=10)
-    words = sum(r.toxic + r.ordinary for r in seen[0].collect())
+    fitted = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels, max_train=10)
+    tokens = [ngrams.Model(f).sums()["tokens"] for f in fitted.folders]
     learned = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _ in rows)
-    assert 5 * (learned - 20) <= words <= 5 * learned
+    assert 6 * (learned - 20) <= tokens[2] <= 6 * learned and tokens[0] + tokens[1] == tokens[2]
+
+
+def brute_evidence(train, texts, cap, frequent, head):
+    """Evidence of every word by the formulas of the module, from plain counts. ``train`` holds (words, toxic)."""
+    counts = Counter(w for words, _ in train for w in words)
+
+    def spell(words):
+        return [w if counts[w] >= frequent else b"\0" + w[:head] for w in words]
+
+    def laws(docs):
+        pairs = Counter(p for w in docs for p in zip(["<s>", *w], [*w, "</s>"], strict=True))
+        n, k = Counter(), Counter(w for _, w in pairs)
+        for (v, _), c in pairs.items():
+            n[v] += c
+        return pairs, n, k
+
+    split = [(spell(w), y) for w, y in train]
+    toxic, ordinary, both = laws([w for w, y in split if y]), laws([w for w, y in split if not y]), laws([w for w, _ in split])
+    law = lambda values: ngrams.discounts([sum(c == i for c in values) for i in (1, 2, 3, 4)])
+    d, e = law(both[0].values()), law(both[2].values())
+    kinds = len(both[2])
+
+    def single(w):
+        pairs, n, k = both
+        total = sum(k.values())
+        return (k[w] - e[min(k[w], 3)]) / total + sum(e[min(c, 3)] for c in k.values()) / total / (kinds + 1)
+
+    def shared(v, w):
+        pairs, n, _ = both
+        if not n[v]:
+            return single(w)
+        c = pairs[v, w]
+        return (c - d[min(c, 3)]) / n[v] + sum(d[min(x, 3)] for (a, _), x in pairs.items() if a == v) / n[v] * single(w)
+
+    def of_class(model, v, w):
+        pairs, n, k = model
+        total = sum(k.values())
+        own = (k[w] - min(k[w], cap)) / total + sum(min(c, cap) for c in k.values()) / total * single(w)
+        back = toxicity.OWN * own + (1 - toxicity.OWN) * shared(v, w)
+        if not n[v]:
+            return back
+        c = pairs[v, w]
+        return (c - min(c, cap)) / n[v] + sum(min(x, cap) for (a, _), x in pairs.items() if a == v) / n[v] * back
+
+    return [[math.log(of_class(toxic, v, w)) - math.log(of_class(ordinary, v, w)) for v, w in zip(["<s>", *t][:-1], t, strict=True)] for t in map(spell, texts)]
+
+
+def test_evidence_is_that_of_the_formulas(spark, documents):
+    rows = [(r.doc_id, " ".join((r.text or "").split()[:120])) for r in documents.orderBy("doc_id").limit(50).collect()]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 3 % 2) for i, _ in rows], "doc_id long, toxic int")
+    fitted = toxicity.fit(frame, labels, max_train=0, frequent=3, head=4)
+    plain = [(i, (t or "").encode()) for i, t in frame.select("doc_id", toxicity.plain_words(F.col("text"))).collect()]
+    train = [(t.split(), i % 3 % 2) for i, t in plain if zlib.crc32(str(i).encode()) % 3 != 1]
+    models = [(ngrams.Model(f), ngrams.Model(f).sums()) for f in fitted.folders]
+    for cap, got in zip((2, 4), toxicity.word_evidence(models, [t for _, t in plain], (2, 4), fitted.spelling)[0], strict=True):
+        want = np.concatenate(brute_evidence(train, [t.split() for _, t in plain], cap, 3, 4))
+        assert len(want) == len(got) > 1000 and np.allclose(want, got, rtol=1e-9, atol=1e-9)
+
+
+def test_labels_go_to_the_texts(spark, documents, monkeypatch):
+    keys = documents.select(F.col("doc_id").alias("train_key"), F.lit(1).alias("toxic"), F.lit(False).alias("aside")).filter("train_key % 5 = 0")
+    keys = toxicity.checkpoint_table(keys, "keys")
+    found = toxicity.labelled(documents, keys, "doc_id", "text")
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    want = Counter(map(tuple, found.collect()))
+    monkeypatch.setattr("netsieve.llm.rows.LISTED_ROWS", 0)
+    assert Counter(map(tuple, toxicity.labelled(documents, keys, "doc_id", "text").collect())) == want and want
 
 
 def test_toxicity_of_odd_rows(odd, empty, spark):
