@@ -15,11 +15,11 @@ from ..operators.unify import unify_records
 # Request texts by event_id % 12; the other slots are blank.
 ITEM_SLOT = 5
 URI_SLOTS = {
-    0: "/selected/updates/dropbox",
-    1: "/reports/2031/summary.html",
-    2: "/door?key=x' OR 'b'='b' -- ",
-    3: "/note?t=%3Cscript%3Ewindow.location=%22/%22%3C/script%3E",
-    4: "row=4%20UNION%20ALL%20SELECT%20char('a'),database()#",
+    0: "q=9;WAITFOR DELAY char(3)",
+    1: "/cart?sort=price&dir=up",
+    2: "/img/a-1.png",
+    3: "go=javascript:f()&u=data:text/html,x",
+    4: "/p?z=1 AND pg_sleep(2)=2 xor `k`=`k` GROUP BY 1",
     6: "/x?q=%2527%2520or%25201%253D1;drop table t/*c*/",
     7: " /a+b?c=<img src=x onerror=alert(1)>&d=`e` ",
 }
@@ -200,7 +200,12 @@ DOCUMENT_LAYOUTS = [
     '"network":{"protocol":"{proto}","bytes":null},"rule.name":"{long}","message":"{long}","url.original":"{uri}"}',
 ]
 LONG_TEXT = "a rule text with <angles> & 'quotes' that goes on " * 5
-DOCUMENT_URIS = {2: "/login?u=a' OR 1=1 --", 3: "/q?x=%3Cscript%3E", 7: " /b+c?d=<svg onload=e> ", 0: "/healthz"}
+DOCUMENT_URIS = {
+    0: "/about",
+    2: "/find?c=1;drop table_name having hex(1)=2 union all select cast(a) and 3=3--",
+    3: "/a?b=vbscript:x&c=<iframe onfocus=1>",
+    7: " /b+c?d=<svg onload=e> ",
+}
 
 
 def documents(raw: DataFrame) -> DataFrame:

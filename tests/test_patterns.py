@@ -11,12 +11,15 @@ COLUMNS = [
     "sql_attack_score", "xss_attack_score",
 ]
 EXPECTED = {
-    "/selected/updates/dropbox": [3, 0, 0, 0, 0, 0, 0, 0, 0, 0, 3, 0, 25, 6, 0],
-    "/reports/2031/summary.html": [0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 3, 0, 26, 0, 0],
-    "/door?key=x' OR 'b'='b' --": [0, 1, 1, 0, 0, 0, 0, 5, 0, 11, 1, 2, 26, 5.25, 0],
-    "/note?t=%3Cscript%3Ewindow.location=%22/%22%3C/script%3E": [0, 0, 0, 0, 3, 0, 2, 2, 4, 9, 3, 2, 44, 0.5, 11],
-    "row=4%20UNION%20ALL%20SELECT%20char('a'),database()#": [4, 0, 1, 0, 0, 0, 0, 2, 0, 13, 0, 1, 44, 9.5, 0],
-    "/u?n=x%27%20union%20select%20a--": [2, 0, 1, 0, 0, 0, 0, 1, 0, 6, 1, 1, 24, 5.25, 0],
+    "q=9;WAITFOR DELAY char(3)": [2, 0, 1, 0, 0, 0, 0, 0, 0, 6, 0, 1, 25, 5, 0],
+    "/cart?sort=price&dir=up": [0, 0, 0, 0, 0, 0, 0, 0, 0, 4, 1, 2, 23, 0, 0],
+    "/img/a-1.png": [0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 2, 0, 12, 0, 0],
+    "go=javascript:f()&u=data:text/html,x": [0, 0, 0, 0, 2, 0, 0, 0, 0, 8, 1, 2, 36, 0, 4],
+    "/p?z=1 AND pg_sleep(2)=2 xor `k`=`k` GROUP BY 1": [2, 1, 0, 0, 0, 0, 0, 4, 0, 17, 1, 3, 47, 8, 0],
+    "/find?c=1;drop table_name having hex(1)=2 union all select cast(a) and 3=3--": [7, 1, 2, 0, 0, 0, 0, 0, 0, 18, 1, 3, 76, 19, 0],
+    "/a?b=vbscript:x&c=<iframe onfocus=1>": [0, 0, 0, 0, 2, 1, 0, 0, 2, 9, 1, 3, 36, 0, 6.5],
+    "/m?t=%3Cbody%20onpageshow%20=1%3E%3C/script%3E#top": [0, 0, 1, 0, 2, 1, 1, 0, 4, 10, 2, 2, 38, 1, 9],
+    "v=%2523%2522&w=declare+convert(x)+order++by+dbms_lock": [4, 0, 0, 2, 0, 0, 0, 0, 0, 12, 0, 2, 49, 9, 0],
     "/x?q=%2527%2520or%25201%253D1;drop table t/*c*/": [1, 0, 3, 3, 0, 0, 0, 0, 0, 11, 3, 1, 39, 6.5, 0],
     "/?a=1&b=<img src=x onerror=alert(1)>&c=concat(0x1,database())": [2, 0, 0, 0, 2, 1, 0, 0, 2, 19, 1, 5, 61, 4, 6.5],
     "a=1 and (b=c) xor 'd'=`e`": [0, 2, 0, 0, 0, 0, 0, 4, 0, 13, 0, 3, 25, 7, 0],
