@@ -414,6 +414,7 @@ class Law(NamedTuple):
     """What a model says of distinct tokens and of pairs of them: P(w) = own(w) + spare x 1 / (V + 1), P(w | v) = direct(v, w) + back(v) x P(w)."""
 
     count: np.ndarray
+    before: np.ndarray
     own: np.ndarray
     spare: float
     back: np.ndarray
@@ -445,7 +446,7 @@ class Law(NamedTuple):
         both = known[before] & known[word]
         c = model.times(numbers[before[both]], numbers[word[both]])
         direct[both] = (c - less(c, d)) / np.maximum(count[before[both]], 1)
-        return cls(count, own, spare, back, direct)
+        return cls(count, k, own, spare, back, direct)
 
 
 def pairs_of(sequence: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, ...]:

@@ -1,16 +1,17 @@
 """Toxicity by two Kneser-Ney bigram models, one of toxic and one of ordinary documents, over backoff counts that both share.
 
 For a class c, a word w after v has
-    P_c(w | v) = (n_c(v, w) - min(n_c(v, w), D)) / n_c(v) + g_c(v) * (OWN * P_c(w) + (1 - OWN) * P(w | v))
+    P_c(w | v) = (n_c(v, w) - min(n_c(v, w), D)) / n_c(v) + g_c(v) * P_c(w)
     P_c(w)     = (k_c(w) - min(k_c(w), D)) / K_c         + g_c    * P(w)
-with n counts, k numbers of different words before w, g what the discounts left, and P(w | v), P(w) the modified Kneser-Ney law of both classes
-together. Every pair counts. A rare expression costs both classes the same but for what one of them has seen of it beyond the discount D, an absolute
+    P(w)       = (k(w) + 1) / (K + V + 1)
+with n counts, k_c numbers of different words before w in the class and K_c their sum, g what the discounts left; k, K and the number V of tokens are summed over
+both classes, which share P. Every pair counts. A rare expression costs both classes the same but for what one of them has seen of it beyond the discount D, an absolute
 one as in the first form of the method, which is not taken from counts of counts but fitted: of ``DISCOUNTS``, the one under which the documents set aside are judged best.
 
 A word's evidence is log P_toxic - log P_ordinary. It is averaged over the document and over each stretch of ``STRETCH`` words (all stretches,
 so that a long text with one insult is seen), and a logistic curve on the two turns it into a score.
 
-The three models are those of ``ngrams``: counted in Spark from all labelled documents that are not held out (but those that fit the curve), stored as
+The two models are those of ``ngrams``: counted in Spark from all labelled documents that are not held out (but those that fit the curve), stored as
 sorted arrays in the shared folder and mapped by the workers. Nothing of them passes through the driver or a broadcast. Only the fit of the
 logistic curve is bounded: it takes its documents from at most ``MAX_TRAIN`` of each class, chosen by a hash of their keys. Texts stay where
 they are: labels go to them, by broadcast up to ``LISTED_ROWS`` keys; beyond, a bit table sets apart the labelled texts, and only those are shuffled.
@@ -34,7 +35,6 @@ MAX_TRAIN = 3000
 STRETCH = 6
 FREQUENT = 20  # occurrences in the training texts from which a word is a token of its own
 HEAD = 5  # bytes by which other words are known
-OWN = 0.9  # share of the class's own words in its backoff
 DISCOUNTS = (2, 4, 8, 16, 32, 64)
 THRESHOLD = 0.7
 CALIBRATION_SHARE = 4  # one of so many documents of the bounded sample is for the logistic curve
@@ -59,7 +59,7 @@ def summaries(evidence: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 class Fitted(NamedTuple):
-    """Folders of the models (toxic, ordinary, both), how words are spelled in them, the discount, and the curve (constant, stretch, document)."""
+    """Folders of the models (toxic, ordinary), how words are spelled in them, the discount, and the curve (constant, stretch, document)."""
 
     folders: list[str]
     spelling: ngrams.Spelling
@@ -68,17 +68,16 @@ class Fitted(NamedTuple):
 
 
 def word_evidence(models: list[tuple[ngrams.Model, dict]], texts: list[bytes], discounts: tuple[int, ...], spelling: ngrams.Spelling | None = None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Evidence of every word of the texts under (toxic, ordinary, both), one array for each discount, and the edges of texts."""
+    """Evidence of every word of the texts under (toxic, ordinary), one array for each discount, and the edges of texts."""
     sequence, edges = ngrams.tokens(texts, spelling)
     distinct, before, word, pair, first = ngrams.pairs_of(sequence, edges)
-    both = ngrams.Law.of(*models[2], distinct, before, word)
-    single = both.own + both.spare / (models[2][1]["distinct"] + 1)
-    shared = both.direct + both.back[before] * single[word]
     last = np.r_[first[1:], len(pair)] - 1  # the end of each text is no word
+    totals = sum(sums["k"] + sums["distinct"] for _, sums in models) + 1
     out = []
     for cap in discounts:
-        laws = [ngrams.Law.of(*model, distinct, before, word, cap) for model in models[:2]]
-        logs = [np.log(c.direct + c.back[before] * (OWN * (c.own + c.spare * single)[word] + (1 - OWN) * shared)) for c in laws]
+        laws = [ngrams.Law.of(*model, distinct, before, word, cap) for model in models]
+        shared = (laws[0].before + laws[1].before + 1) / totals
+        logs = [np.log(c.direct + c.back[before] * (c.own + c.spare * shared)[word]) for c in laws]
         out.append(np.delete((logs[0] - logs[1])[pair], last))
     return out, np.r_[first, len(pair)] - np.arange(len(first) + 1)
 
@@ -161,14 +160,13 @@ def fit(
     frequent: int = FREQUENT,
     head: int = HEAD,
 ) -> Fitted:
-    """The three models of the labelled documents that are not held out, and the curve. Without labels every score is 0.5."""
+    """The models of the labelled documents that are not held out, and the curve. Without labels every score is 0.5."""
     keys = checkpoint_table(training_keys(labels, key, label), "toxic-labels")
     keys = keys.join(F.broadcast(curve_keys(keys, max_train)), "train_key", "left")
     keys = checkpoint_table(keys.select("train_key", "toxic", F.coalesce("aside", F.lit(False)).alias("aside")), "toxic-keys")
     train = labelled(documents, keys, key, text)
-    parts = [train.filter(cond) for cond in ("NOT aside AND toxic = 1", "NOT aside AND toxic <> 1", "NOT aside")]
-    spelling = ngrams.Spelling(ngrams.fit(parts[2], only_words=True), frequent, head)
-    folders = [ngrams.fit(part, spelling=spelling, caps=DISCOUNTS if part is not parts[2] else ()) for part in parts]
+    spelling = ngrams.Spelling(ngrams.fit(train.filter("NOT aside"), only_words=True), frequent, head)
+    folders = [ngrams.fit(train.filter(f"NOT aside AND {which}"), spelling=spelling, caps=DISCOUNTS) for which in ("toxic = 1", "toxic <> 1")]
     fitted = Fitted(folders, spelling, DISCOUNTS[0], (0.0, 0.0, 0.0))
     sample = train.filter("aside").select(F.col("toxic").cast("long").alias("doc_id"), "text")
     sample = evidence(sample, fitted, DISCOUNTS).toArrow()

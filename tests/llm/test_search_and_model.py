@@ -139,7 +139,7 @@ def test_counts_come_from_all_labelled_documents(spark):
     fitted = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels, max_train=10)
     tokens = [ngrams.Model(f).sums()["tokens"] for f in fitted.folders]
     learned = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _ in rows)
-    assert 6 * (learned - 20) <= tokens[2] <= 6 * learned and tokens[0] + tokens[1] == tokens[2]
+    assert 6 * (learned - 20) <= sum(tokens) <= 6 * learned
 
 
 def brute_evidence(train, texts, cap, frequent, head):
@@ -157,28 +157,14 @@ def brute_evidence(train, texts, cap, frequent, head):
         return pairs, n, k
 
     split = [(spell(w), y) for w, y in train]
-    toxic, ordinary, both = laws([w for w, y in split if y]), laws([w for w, y in split if not y]), laws([w for w, _ in split])
-    law = lambda values: ngrams.discounts([sum(c == i for c in values) for i in (1, 2, 3, 4)])
-    d, e = law(both[0].values()), law(both[2].values())
-    kinds = len(both[2])
-
-    def single(w):
-        pairs, n, k = both
-        total = sum(k.values())
-        return (k[w] - e[min(k[w], 3)]) / total + sum(e[min(c, 3)] for c in k.values()) / total / (kinds + 1)
-
-    def shared(v, w):
-        pairs, n, _ = both
-        if not n[v]:
-            return single(w)
-        c = pairs[v, w]
-        return (c - d[min(c, 3)]) / n[v] + sum(d[min(x, 3)] for (a, _), x in pairs.items() if a == v) / n[v] * single(w)
+    toxic, ordinary = laws([w for w, y in split if y]), laws([w for w, y in split if not y])
+    totals = sum(len(pairs) + len(k) for pairs, _, k in (toxic, ordinary)) + 1
 
     def of_class(model, v, w):
         pairs, n, k = model
         total = sum(k.values())
-        own = (k[w] - min(k[w], cap)) / total + sum(min(c, cap) for c in k.values()) / total * single(w)
-        back = toxicity.OWN * own + (1 - toxicity.OWN) * shared(v, w)
+        shared = (toxic[2][w] + ordinary[2][w] + 1) / totals
+        back = (k[w] - min(k[w], cap)) / total + sum(min(c, cap) for c in k.values()) / total * shared
         if not n[v]:
             return back
         c = pairs[v, w]
