@@ -51,15 +51,15 @@ def decide_alert(prediction: Column, mode: str) -> Column:
     return F.struct(F.lit(True).alias("triggered"), reason.alias("reason"))
 
 
-def score_events(mapped: DataFrame, state: FeatureState, scorer: Scorer, keep: Sequence[str] = ()) -> DataFrame:
-    """Predictions beside every column of the mapped event.
+def score_events(mapped: DataFrame, state: FeatureState, scorer: Scorer, keep: Sequence[str] = (), branch: bool = False) -> DataFrame:
+    """Predictions beside every column of the mapped event. ``branch``: the second view is built and scored for suspicious records only; ``mapped`` is read twice.
 
     The model sees the normalised record; the event keeps its values as mapped.
     """
     shown = {f"_shown_{name}": F.col(name) for name in fixed.NETWORK_FIELDS}
     others = [name for name in dict.fromkeys([*keep, *mapped.columns]) if name not in fixed.RECORD_COLUMNS]
     unified = unify_generic(mapped.withColumns(shown), keep=[*others, *shown])
-    scored = predict(unified, state, scorer, [*others, *shown])
+    scored = predict(unified, state, scorer, [*others, *shown], branch=branch)
     return scored.withColumnsRenamed({column: name for column, name in zip(shown, fixed.NETWORK_FIELDS)})
 
 

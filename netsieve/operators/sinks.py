@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
+
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
+from .sizing import SMALL_ROWS, claim_file, file_exists, file_names
 from .state import FeatureState, load_state
 
 MODEL_CLASSES = {"boosted_trees": GBTClassificationModel, "random_forest": RandomForestClassificationModel}
@@ -87,14 +91,45 @@ def feature_list(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "position int, name string")
 
 
+def stream_name(checkpoint: str) -> str:
+    """A stream is known by its checkpoint, so streams of several sources, or one begun anew, add to the same table."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def append_batch(folder: str, checkpoint: str):
-    """A ``foreachBatch`` writer that repeats safely: a batch owns its subfolder below that of its stream.
+    """A ``foreachBatch`` writer that repeats safely.
 
-    A stream is known by its checkpoint, so streams of several sources, or one begun anew, add to the same table.
+    Each attempt at a batch has a folder of its own below ``data``; once all of it is written, a record below ``commits`` names it.
+    Readers (:func:`read_table`) see committed attempts only, so a batch that was killed half-way is invisible, and a batch that has a
+    record is not written again: a restart adds nothing twice.
     """
-    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    stream = stream_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/stream={stream}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        record = f"{folder}/commits/{stream}-{batch_id}.json"
+        if file_exists(spark, record):
+            return
+        attempt = uuid.uuid4().hex
+        batch.write.parquet(f"{folder}/data/stream={stream}/batch_id={batch_id}/attempt={attempt}")
+        claim_file(spark, record, json.dumps({"stream": stream, "batch_id": batch_id, "attempt": attempt}))
 
     return write
+
+
+def commits(spark: SparkSession, folder: str) -> DataFrame:
+    """(stream, batch_id, attempt) of every committed batch."""
+    return spark.read.schema("stream string, batch_id long, attempt string").json(f"{folder}/commits")
+
+
+def read_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The committed rows of a table of batches, with ``stream`` and ``batch_id``; no batch committed yet: no rows, and no columns either.
+
+    Attempts are partitions: the join with their records prunes the folders of all others before any file is opened.
+    """
+    if not file_names(spark, f"{folder}/commits"):
+        return spark.createDataFrame([], "stream string, batch_id long")
+    rows = spark.read.option("basePath", f"{folder}/data").parquet(f"{folder}/data")
+    kept = commits(spark, folder).select("stream", "batch_id", "attempt")
+    rows = rows.withColumns({"stream": F.col("stream").cast("string"), "batch_id": F.col("batch_id").cast("long"), "attempt": F.col("attempt").cast("string")})
+    return rows.join(F.broadcast(kept) if kept.count() <= SMALL_ROWS else kept, ["stream", "batch_id", "attempt"], "left_semi").drop("attempt")

@@ -47,6 +47,43 @@ def qualified(spark: SparkSession, path: str) -> str:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and a maker of its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def claim_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file under a name that nobody has taken; False if it is taken. The name appears with its whole text: it is
+    written aside and renamed, and a rename onto a taken name is refused."""
+    files, make = _files(spark, path)
+    if files.exists(make(path)):
+        return False
+    folder, name = path.rsplit("/", 1)
+    aside = make(f"{folder}/.{name}-{uuid.uuid4().hex}")
+    out = files.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if files.exists(make(path)) or not files.rename(aside, make(path)):
+        files.delete(aside, False)
+        return False
+    return True
+
+
+def file_exists(spark: SparkSession, path: str) -> bool:
+    files, make = _files(spark, path)
+    return files.exists(make(path))
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of few files, without those written aside; empty if there is no such folder."""
+    files, make = _files(spark, folder)
+    if not files.exists(make(folder)):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(make(folder))]
+    return sorted(name for name in names if not name.startswith("."))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

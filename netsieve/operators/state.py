@@ -9,6 +9,7 @@ bucketed and sorted by a 16-byte digest of the key: a join with records moves on
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fixed
 from ..functions.keys import key_digest, source_key, traffic_keys
 from .records import primary_view, with_text
-from .sizing import checkpoint_table, qualified, small_table
+from .sizing import checkpoint_table, claim_file, file_names, qualified, small_table
 
 COUNT_KINDS = ("dst", "src_dst", "endpoint", "request")
 MIN_COUNT = 2
@@ -322,6 +323,39 @@ def load_state(spark: SparkSession, path: str) -> FeatureState:
     )
 
 
+def publish_state(frame: DataFrame, root: str) -> str:
+    """Fit a new version of the state below a root and point to it; its path. Versions that streams still use stay where they are."""
+    path = f"{root}/versions/{uuid.uuid4().hex}"
+    fit_to(frame, path)
+    point_to(frame.sparkSession, root, path)
+    return path
+
+
+def point_to(spark: SparkSession, root: str, path: str) -> None:
+    """Make a stored state the newest of a root: the next numbered pointer, which appears whole or not at all."""
+    while True:
+        number = int((file_names(spark, f"{root}/pointers") or ["0"])[-1]) + 1
+        if claim_file(spark, f"{root}/pointers/{number:012d}", path):
+            return
+
+
+class PublishedState:
+    """The newest state below a root. ``current`` looks at the pointers each time and loads a version once."""
+
+    def __init__(self, root: str):
+        self.root = root
+        self.known: tuple[str, FeatureState] | None = None
+
+    def current(self, spark: SparkSession) -> FeatureState:
+        names = file_names(spark, f"{self.root}/pointers")
+        if not names:
+            raise FileNotFoundError(f"no state is published below {self.root}")
+        if self.known is None or self.known[0] != names[-1]:
+            path = spark.read.text(f"{self.root}/pointers/{names[-1]}").first().value
+            self.known = (names[-1], load_state(spark, path))
+        return self.known[1]
+
+
 def state_summary(state: FeatureState) -> DataFrame:
     """(section, name, value): encoders, frequencies, size of each count map, feature list."""
 

@@ -166,14 +166,14 @@ NEWEST = "(SELECT (stamp, _index, _id) AS k, stamp, _index, _id FROM docs ORDER
 
 @register(
     "a8_start_from_latest",
-    f"{sql.DOCS_CTE}, top AS {NEWEST.replace('(stamp, _index, _id) AS k, ', '')} "
+    f"{sql.DOCS_CTE}, top AS (SELECT stamp, _index, _id FROM docs WHERE event_id < 20 ORDER BY stamp DESC, _index DESC, _id DESC LIMIT 1) "
     "SELECT event_id, docs.stamp AS event_timestamp FROM docs, top WHERE docs.stamp > top.stamp "
     "OR (docs.stamp = top.stamp AND NOT (docs._index = top._index AND docs._id = top._id))",
 )
 def _a8(spark, folder):
-    timed = timed_documents(spark, folder)
-    top = event_sources.newest(timed).first()
-    later = event_sources.after_newest(timed, (top.timestamp, top["_index"], top["_id"]))
+    """What comes after the newest event of a table that holds the first events already, others of the same time included."""
+    events_ = telemetry.document_view(spark, folder)
+    later = jobs.from_latest(events_, events_.filter("event_id < 20"))
     return later.select("event_id", F.col("timestamp").alias("event_timestamp"))
 
 
@@ -1129,15 +1129,39 @@ def _stored_state(spark, folder) -> state.FeatureState:
 
 
 def _stream_sql() -> str:
-    return (
-        f"{sql.scored_events_cte('R')} SELECT source_id, round(malicious_probability, 6) AS malicious_probability, "
-        "prediction = 1 AS alert FROM predicted"
+    one = (
+        "({cte} SELECT source_id, source_type, round(malicious_probability, 6) AS malicious_probability, prediction = 1 AS alert "
+        "FROM predicted WHERE prediction = 1 AND source_index = '{index}')"
     )
+    return " UNION ALL ".join(one.format(cte=sql.scored_events_cte(rules), index=index) for rules, index in (("F", "idx-0"), ("R", "idx-1")))
 
 
-@register("n3_b7_scored_stream", _stream_sql())
+@register("n3_b7_b8_scored_streams", _stream_sql())
 def _n3(spark, folder):
-    """Events to scored alert records in a stream with a file sink, read back."""
+    """Two sources, each a stream with its mapper, scored batch by batch with published state; their alerts in one table, read as committed."""
+    files_ = _event_files(spark, folder)
+    root, out = scratch_path(spark, "published"), scratch_path(spark, "alerts")
+    state.publish_state(unified(spark, folder), root)
+    for mapper, index in ((events.map_firewall_events, "idx-0"), (events.map_ids_events, "idx-1")):
+        stream = event_sources.event_stream(spark, files_).filter(F.col("_index") == index)
+        checkpoint = scratch_path(spark, "ckpt")
+        write = sinks.append_batch(out, checkpoint)
+        jobs.scored_batches(stream, mapper, state.PublishedState(root), scoring.rule_scorer, write, checkpoint, alerts_only=True, available_now=True).awaitTermination()
+    stored = sinks.read_table(spark, out)
+    return stored.select(
+        F.col("source_ref.id").alias("source_id"),
+        "source_type",
+        F.round("ml.malicious_probability", 6).alias("malicious_probability"),
+        F.col("ml.alert").alias("alert"),
+    )
+
+
+@register(
+    "n3_b7_scored_stream",
+    f"{sql.scored_events_cte('R')} SELECT source_id, round(malicious_probability, 6) AS malicious_probability, prediction = 1 AS alert FROM predicted",
+)
+def _n3_files(spark, folder):
+    """Events to scored alert records in one stream with a file sink, read back."""
     stream = event_sources.event_stream(spark, _event_files(spark, folder))
     scored = jobs.scored_stream(stream, events.map_ids_events, _stored_state(spark, folder), scoring.rule_scorer)
     out = scratch_path(spark, "records")
@@ -1216,18 +1240,18 @@ def _b8(spark, folder):
 
 @register(
     "n6_notification_filter",
-    f"{sql.scored_events_cte('R')} SELECT event_id FROM predicted WHERE prediction = 1 AND malicious_probability >= 0.60",
+    f"{sql.scored_events_cte('R')} SELECT event_id FROM predicted WHERE prediction = 1 AND malicious_probability >= 0.80",
 )
 def _n6(spark, folder):
-    return alerts.notifiable(_records(spark, folder), minimum=0.60).select("event_id")
+    return alerts.notifiable(_records(spark, folder)).select("event_id")
 
 
 @register(
     "n7_ids_notification_filter",
-    f"{sql.scored_events_cte('S')} SELECT event_id FROM predicted WHERE prediction = 1 AND malicious_probability >= {fixed.IDS_NOTICE_MINIMUM}",
+    f"{sql.scored_events_cte('S')} SELECT event_id FROM predicted WHERE prediction = 1 AND malicious_probability >= 0.70",
 )
 def _n7(spark, folder):
-    return alerts.ids_notifiable(_ids_records(spark, folder, "ml_only")).select("event_id")
+    return alerts.ids_notifiable(_ids_records(spark, folder, "ml_only"), 0.70).select("event_id")
 
 
 def _n8(spark, folder):

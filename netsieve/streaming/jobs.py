@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.alerts import alert_records, ids_alert_records, only_alerts, outbox, score_events
+from ..operators.lookups import narrowed
 from ..operators.scoring import Scorer
 from ..operators.sinks import append_batch
-from ..operators.state import FeatureState
+from ..operators.state import FeatureState, PublishedState
+from ..operators.unify import unify_generic
 from ..sources.events import after_newest, newest, since, with_timestamp
 
 DEFAULT_LATENESS = "10 minutes"
@@ -60,6 +62,45 @@ def scored_stream(
     return alert_records(scored) if ids_mode is None else ids_alert_records(scored, ids_mode)
 
 
+def scored_batches(
+    events: DataFrame,
+    mapper: Callable[[DataFrame], DataFrame],
+    state: PublishedState | FeatureState,
+    scorer: Scorer,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    lateness: str = DEFAULT_LATENESS,
+    cursor: str | None = None,
+    ids_mode: str | None = None,
+    alerts_only: bool = False,
+    available_now: bool = False,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Start a stream that scores each micro-batch with the state that is published when the batch begins.
+
+    A newly published fit counts from the next batch on, without a restart. Of state too large to broadcast a batch reads the buckets of its own keys.
+    Only suspicious records get the second view, and the model is called once for the others.
+    ``write`` takes (records, batch id) and must repeat safely, as ``append_batch`` does. Several sources, each with its checkpoint, may write to one table.
+    """
+    timed = events if "timestamp" in events.columns else with_timestamp(events)
+    fresh = deduplicate(since(timed, cursor), lateness)
+
+    def score(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        now = state.current(spark) if isinstance(state, PublishedState) else state
+        mapped = mapper(batch)
+        mapped = mapper(batch).persist()  # read for its keys and for both branches
+        try:
+            scored = score_events(mapped, narrowed(now, unify_generic(mapped), "uri"), scorer, branch=True)
+            records = alert_records(scored) if ids_mode is None else ids_alert_records(scored, ids_mode)
+            write(only_alerts(records, alerts_only), batch_id)
+        finally:
+            mapped.unpersist()
+
+    writer = fresh.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
+    return _once(writer, available_now, interval).start()
+
+
 def union_streams(*records: DataFrame) -> DataFrame:
     """Records of several sources in one stream."""
     merged = records[0]
@@ -90,7 +131,7 @@ def to_alert_table(
     available_now: bool = False,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Parquet table of scored records; a repeated batch replaces its own part."""
+    """Table of scored records for ``sinks.read_table``; a repeated batch adds nothing."""
     writer = only_alerts(records, alerts_only).writeStream.foreachBatch(append_batch(folder, checkpoint))
     writer = writer.option("checkpointLocation", checkpoint)
     return _once(writer, available_now, interval).start()

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from netsieve.operators import alerts, events, scoring, state
+from netsieve.operators.sinks import append_batch, read_table
 from netsieve.operators.sizing import scratch_path
 from netsieve.plans import telemetry
 from netsieve.sources import events as sources
@@ -93,27 +94,138 @@ def test_alert_table_and_outbox_equal_the_batch_result(spark, small, folder, fit
         return jobs.scored_stream(source, events.map_firewall_events, fitted, scoring.rule_scorer)
 
     jobs.to_alert_table(stream(), f"{folder}/alerts", f"{folder}/c1", alerts_only=True, available_now=True).awaitTermination(180)
-    found = spark.read.parquet(f"{folder}/alerts").collect()
+    found = read_table(spark, f"{folder}/alerts").collect()
     assert sorted((r.source_ref.id, round(r.ml.malicious_probability, 9)) for r in found) == expected and expected
 
     query = jobs.to_outbox(
         stream(), alerts.notice_text(), lambda r: alerts.notifiable(r, 0.5), f"{folder}/outbox", f"{folder}/c2", available_now=True
     )
     query.awaitTermination(180)
-    sent = spark.read.parquet(f"{folder}/outbox").collect()
+    sent = read_table(spark, f"{folder}/outbox").collect()
     assert sorted(r.source_id for r in sent) == [key for key, _ in expected]
     assert all(r.message.startswith("<b>Cyber Alert</b>\nTime: <code>2024") for r in sent)
 
 
-def test_repeated_batch_replaces_itself(spark, folder):
-    from netsieve.operators.sinks import append_batch
-
+def test_repeated_batch_adds_nothing(spark, folder):
     write = append_batch(f"{folder}/table", "checkpoint-a")
+    assert read_table(spark, f"{folder}/table").count() == 0
     write(spark.range(3), 0)
     write(spark.range(3), 0)
     write(spark.range(2), 1)
     append_batch(f"{folder}/table", "checkpoint-b")(spark.range(4), 0)
-    assert spark.read.parquet(f"{folder}/table").count() == 9
+    rows = read_table(spark, f"{folder}/table")
+    assert rows.count() == 9 and rows.select("stream", "batch_id").distinct().count() == 3
+
+
+def test_a_batch_killed_half_way_is_invisible(spark, folder, monkeypatch):
+    from netsieve.operators import sinks
+
+    write = append_batch(f"{folder}/table", "checkpoint-a")
+    write(spark.range(2), 0)
+
+    def killed(*_):
+        raise RuntimeError("killed before the record")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "claim_file", killed)
+        with pytest.raises(RuntimeError):
+            write(spark.range(5), 1)
+    assert sorted(r.id for r in read_table(spark, f"{folder}/table").collect()) == [0, 1]
+    write(spark.range(5), 1)
+    write(spark.range(5), 1)
+    assert sorted(r.id for r in read_table(spark, f"{folder}/table").collect()) == [0, 0, 1, 1, 2, 3, 4]
+
+
+def test_a_new_fit_counts_from_the_next_batch(spark, small, folder):
+    """One running stream, two files; between them another state is published."""
+    view = telemetry.unified_view(spark, small)
+    root = f"{folder}/state"
+    state.publish_state(view.limit(1), root)
+    source = state.PublishedState(root)
+    docs = telemetry.document_view(spark, small).select("_index", "_id", "_source").limit(60).collect()
+    frames = [spark.createDataFrame(docs[:30], SCHEMA), spark.createDataFrame(docs[30:], SCHEMA)]
+
+    def by_frequency(features, prefix=""):
+        return features.withColumn(f"{prefix}probability", F.col(f"{prefix}src_ip_frequency").cast("double"))
+
+    frames[0].coalesce(1).write.mode("append").json(f"{folder}/in")
+    stream = sources.event_stream(spark, f"{folder}/in")
+    query = jobs.scored_batches(stream, events.map_firewall_events, source, by_frequency, append_batch(f"{folder}/table", "c"), f"{folder}/c", interval="1 second")
+    try:
+        query.processAllAvailable()
+        state.publish_state(view, root)
+        frames[1].coalesce(1).write.mode("append").json(f"{folder}/in")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    best = {}
+    for r in read_table(spark, f"{folder}/table").collect():
+        best[r.source_ref.id] = r.ml.malicious_probability
+    assert max(best[d._id] for d in docs[:30]) == 0 < max(best[d._id] for d in docs[30:])
+
+
+def test_both_sources_with_a_fitted_model_into_one_table(spark, small, folder, monkeypatch):
+    """The streams end to end, on state above the broadcast limit; a restart adds nothing."""
+    from netsieve.operators import features, models
+
+    view = telemetry.unified_view(spark, small)
+    monkeypatch.setattr(state, "BROADCAST_ROWS", 1)
+    root = f"{folder}/state"
+    stored = state.load_state(spark, state.publish_state(view, root))
+    table = features.transform(view.limit(500), stored, ["label"]).withColumn("label", (F.rand(3) < 0.4).cast("int"))
+    scorer = scoring.model_scorer(models.fit_model(models.random_forest(trees=2, depth=3), table, F.lit(1.0)))
+    docs = telemetry.document_view(spark, small).select("_index", "_id", "_source").limit(120)
+    docs.write.json(f"{folder}/in")
+    batch_docs = sources.event_batch(spark, f"{folder}/in")
+
+    def run():
+        for name, mapper, mode, pick in (("fw", events.map_firewall_events, None, lambda e: e), ("ids", events.map_single_ids_events, "suricata_or_ml", sources.ids_alerts)):
+            stream = pick(sources.event_stream(spark, f"{folder}/in"))
+            write = append_batch(f"{folder}/table/{name}", f"{folder}/c-{name}")
+            jobs.scored_batches(stream, mapper, state.PublishedState(root), scorer, write, f"{folder}/c-{name}", ids_mode=mode, available_now=True).awaitTermination(300)
+
+    run()
+    run()
+    for name, mapper, pick in (("fw", events.map_firewall_events, lambda e: e), ("ids", events.map_single_ids_events, sources.ids_alerts)):
+        want = alerts.score_events(mapper(pick(batch_docs)), stored, scorer).select("source_id", F.round("malicious_probability", 9)).collect()
+        got = read_table(spark, f"{folder}/table/{name}").select("source_ref.id", F.round("ml.malicious_probability", 9)).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and got
+
+
+def test_plain_records_are_scored_once(spark, small, folder, fitted):
+    from pyspark.sql.functions import udf
+
+    calls = {"": spark.sparkContext.accumulator(0), "web_": spark.sparkContext.accumulator(0)}
+
+    def counting(features, prefix=""):
+        seen = calls[prefix]
+
+        @udf("double")
+        def count(score):
+            seen.add(1)
+            return score
+
+        scored = scoring.rule_scorer(features, prefix)
+        return scored.withColumn(f"{prefix}probability", count(F.col(f"{prefix}probability")))
+
+    docs = telemetry.document_view(spark, small).select("_index", "_id", "_source").limit(150)
+    docs.coalesce(1).write.json(f"{folder}/in")
+    stream = sources.event_stream(spark, f"{folder}/in")
+    written = []
+    jobs.scored_batches(
+        stream, events.map_ids_events, fitted, counting, lambda rows, _: written.extend(rows.collect()), f"{folder}/c", available_now=True
+    ).awaitTermination(200)
+    mapped = events.map_ids_events(sources.event_batch(spark, f"{folder}/in"))
+    suspicious = mapped.filter(scoring.is_suspicious(F.col("uri"))).count()
+    assert len(written) == 150 and 0 < suspicious < 150
+    assert (calls[""].value, calls["web_"].value) == (150, suspicious)
+
+
+def test_console(spark, folder):
+    spark.range(3).selectExpr("id").write.json(f"{folder}/in")
+    stream = spark.readStream.schema("id long").json(f"{folder}/in")
+    query = jobs.to_console(stream, f"{folder}/c", available_now=True)
+    assert query.awaitTermination(120) and query.exception() is None and query.lastProgress["numInputRows"] == 3
 
 
 def test_events_without_a_time_do_not_stop_the_stream(spark, folder):
