@@ -18,21 +18,35 @@ def flow_parquet(spark: SparkSession, *paths: str, label_mode: str = "keywords")
     return union_sources(*[unify_flow_table(spark.read.parquet(path), label_mode=label_mode) for path in paths])
 
 
-def read_csv_directory(spark: SparkSession, folder: str, multi_line: bool = False) -> list[DataFrame]:
+# A line in which a field opens a quote that the line does not close; a quoted field that ends in a comma looks the same.
+OPEN_QUOTE = r'(?:^|,)\s*"(?:[^"]|"")*$'
+
+
+def csv_heads(spark: SparkSession, files: Sequence[str]) -> list:
+    """(path, header, broken) of each file: its first line, and whether a line may break inside quotes. One job over the lines of all files."""
+    lines = spark.read.text(list(files)).select(
+        F.col("_metadata.file_path").alias("path"), (F.col("_metadata.file_block_start") == 0).alias("first"), F.monotonically_increasing_id().alias("place"), "value"
+    )
+    header = F.min_by("value", F.when(F.col("first"), F.col("place")))
+    return lines.groupBy("path").agg(header.alias("header"), F.max(F.col("value").rlike(OPEN_QUOTE)).alias("broken")).collect()
+
+
+def read_csv_directory(spark: SparkSession, folder: str, multi_line: bool | None = None) -> list[DataFrame]:
     """All ``*.csv`` of a folder as text columns, one frame for each header that occurs. Bad bytes become U+FFFD, null words become null.
 
-    Files may differ in names and order of their columns: the header of each is read on its own (its first line, a
-    short job for each file), and files with the same header are read together. ``multi_line`` keeps line breaks inside quotes;
-    a file is then one task, so it is for files of moderate size.
+    Files may differ in names and order of their columns: one job reads the headers of all, and files with the same header are read together.
+    Records with line breaks inside quotes stay whole: files that may hold such are found in the same job and read whole, each by one
+    task; all others are split. ``multi_line`` decides for all files instead.
     """
     files = _file_names(spark, folder, "*.csv", recursive=False)
     if not files:
         raise FileNotFoundError(f"no CSV files in {folder}")
-    reader = spark.read.options(header=True, encoding="UTF-8", escape='"', enforceSchema=False, multiLine=multi_line)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(unquote(f) for f in files):
-        groups.setdefault(tuple(reader.csv(file).columns), []).append(file)
-    return [_csv_values(reader.csv(same)) for same in groups.values()]
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for head in csv_heads(spark, [unquote(f) for f in files]):  # a row for each file; empty files have none
+        broken = head.broken if multi_line is None else multi_line
+        groups.setdefault((head.header, broken), []).append(unquote(head.path))
+    reader = spark.read.options(header=True, encoding="UTF-8", escape='"', enforceSchema=False)
+    return [_csv_values(reader.option("multiLine", broken).csv(sorted(same))) for (_, broken), same in sorted(groups.items())]
 
 
 def _csv_values(frame: DataFrame) -> DataFrame:
@@ -43,12 +57,12 @@ def _csv_values(frame: DataFrame) -> DataFrame:
     return frame.select(*[value(name) for name in frame.columns])
 
 
-def flow_csv(spark: SparkSession, folder: str, label_mode: str = "keywords", multi_line: bool = False) -> DataFrame:
+def flow_csv(spark: SparkSession, folder: str, label_mode: str = "keywords", multi_line: bool | None = None) -> DataFrame:
     """Flow records; column names are resolved for each header on its own."""
     return union_sources(*[unify_flow_csv(part, label_mode=label_mode) for part in read_csv_directory(spark, folder, multi_line)])
 
 
-def firewall_csv(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
+def firewall_csv(spark: SparkSession, folder: str, multi_line: bool | None = None) -> DataFrame:
     return union_sources(*[unify_firewall_log(part) for part in read_csv_directory(spark, folder, multi_line)])
 
 

@@ -105,7 +105,24 @@ def test_csv_files_with_different_headers(spark, folder):
 
 def test_line_breaks_inside_quotes(spark, folder):
     write(folder, "a.csv", 'Src IP,Dst IP,Log subtype,Message,Rule type\n1.1.1.1,2.2.2.2,Allowed,"two\nlines",1\n')
-    assert files.firewall_csv(spark, folder, multi_line=True).count() == 1
+    write(folder, "b.csv", 'Src IP,Dst IP,Log subtype,Message,Rule type\n3.3.3.3,2.2.2.2,Denied,"he said ""no"", twice",2\n"4.4.4.4",2.2.2.2,Denied,x,2\n')
+    write(folder, "c.csv", 'Src IP,Dst IP,Log subtype,Message,Rule type\n5.5.5.5,2.2.2.2,Denied,5" of cable,2\n6.6.6.6,2.2.2.2,Denied,,2\n')
+    rows = files.firewall_csv(spark, folder).collect()
+    assert sorted(r.src_ip for r in rows) == ["1.1.1.1", "3.3.3.3", "4.4.4.4", "5.5.5.5", "6.6.6.6"]
+    heads = {h.path.rsplit("/", 1)[1]: h.broken for h in files.csv_heads(spark, [f"{folder}/{n}.csv" for n in "abc"])}
+    assert heads == {"a.csv": True, "b.csv": False, "c.csv": False}
+    assert len(files.firewall_csv(spark, folder, multi_line=False).collect()) == 6
+
+
+def test_many_csv_files_in_one_job(spark, folder):
+    for n in range(60):
+        write(folder, f"f{n:03}.csv", f"Src IP,Dst IP,Log subtype{',extra' * (n % 2)}\n9.0.0.{n},2.2.2.2,Denied{',x' * (n % 2)}\n")
+    spark.sparkContext.setJobGroup("heads", "headers of many files")
+    heads = files.csv_heads(spark, [f"{folder}/f{n:03}.csv" for n in range(60)])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("heads")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(heads) == 60 and len(set(h.header for h in heads)) == 2 and len(jobs) <= 3  # the listing, and one job with its shuffle
+    assert files.firewall_csv(spark, folder).count() == 60
 
 
 @pytest.mark.parametrize(("text", "columns"), [("[" + " " * 5000 + '{"src_ip": "1.1.1.1"}]', ["index", "src_ip"]), (" " * 5000 + '["a"]', ["index", "payload"])])
