@@ -97,10 +97,3 @@ def checkpoint_table(frame: DataFrame, name: str, partition_by: tuple[str, ...]
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return frame.sparkSession.read.parquet(path)
-
-
-def spread(frame: DataFrame) -> DataFrame:
-    """Use all cores for heavy row work on a scan with fewer splits than cores. A large table has more
-    splits than cores and passes unchanged."""
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame

@@ -19,7 +19,7 @@ from ..functions.patterns import is_suspicious
 from ..operators import alerts, evaluate, events, features, models, profile, scoring, sinks, split, state, unify, weights
 from ..operators.lookups import lookup_category, lookup_key
 from ..operators.records import primary_view, with_text
-from ..operators.sizing import scratch_path, spread
+from ..operators.sizing import scratch_path
 from ..sources import columns as source_columns
 from ..sources import events as event_sources
 from ..sources import files
@@ -239,7 +239,7 @@ SPACED = "chr(9) || ' ' || text || chr(160) || ' ' || chr(8195) || chr(10)"
 )
 def _c3(spark, folder):
     padded = F.concat(F.lit("\t "), F.col("text"), F.lit("\xa0  \n"))
-    frame = spread(telemetry.table(spark, folder, "documents").select("doc_id", padded.alias("padded")))
+    frame = telemetry.table(spark, folder, "documents").select("doc_id", padded.alias("padded"))
     clean = text.as_text(F.col("padded"))
     return frame.select("doc_id", F.md5(clean).alias("digest"), F.length(clean).cast("long").alias("n"))
 
@@ -413,7 +413,7 @@ _TEXT_NAMES = [*sql.text_sql("url"), "sql_attack_score", "xss_attack_score"]
 
 @register("d16_d33_page_urls", f"SELECT page_id, {_text_columns(sql.decode('url'), _TEXT_NAMES)} FROM pages")
 def _page_urls(spark, folder):
-    pages = spread(telemetry.table(spark, folder, "pages").select("page_id", text.request_text(F.col("url")).alias("t")))
+    pages = telemetry.table(spark, folder, "pages").select("page_id", text.request_text(F.col("url")).alias("t"))
     counted = features.text_features(F.col("t"))
     every = counted | features.score_features(counted)
     return pages.select("page_id", *[every[n].cast("float").cast("double").alias(n) for n in _TEXT_NAMES])
@@ -429,7 +429,7 @@ _MARKUP_NAMES = [
 
 @register("d16_d31_page_html", f"SELECT page_id, {_text_columns('html', _MARKUP_NAMES)} FROM pages")
 def _page_html(spark, folder):
-    pages = spread(telemetry.table(spark, folder, "pages").select("page_id", "html"))
+    pages = telemetry.table(spark, folder, "pages").select("page_id", "html")
     counted = features.text_features(F.col("html"))
     return pages.select("page_id", *[counted[n].cast("float").cast("double").alias(n) for n in _MARKUP_NAMES])
 
@@ -801,7 +801,7 @@ SMALL_FOREST = {"trees": 6, "depth": 6}
 def _training_features(spark, folder) -> DataFrame:
     rows = weights.with_sample_weights(unified(spark, folder))
     fitted = state.fit_to(rows, scratch_path(spark, "state"))
-    return training.feature_table(spread(rows), fitted, ["event_id", "weight"])
+    return training.feature_table(rows, fitted, ["event_id", "weight"])
 
 
 def _fitted(spark, folder, candidate: int):
@@ -1175,7 +1175,7 @@ def _n3_files(spark, folder):
 
 
 def _scored_events(spark, folder, rules: str) -> DataFrame:
-    mapped = _MAPPERS[rules](spread(telemetry.document_view(spark, folder)), ["event_id"])
+    mapped = _MAPPERS[rules](telemetry.document_view(spark, folder), ["event_id"])
     return alerts.score_events(mapped, _stored_state(spark, folder), scoring.rule_scorer)
 
 
