@@ -1,6 +1,6 @@
 """Reading nested event documents as if they were flat.
 
-A document is flattened to (dotted path, text) pairs. Objects are opened level by level, so a path may
+A document is flattened to (dotted path, text, whether it is JSON ``true``). Objects are opened level by level, so a path may
 be spelled nested, as one literal dotted key, or as any mix of both. An object is not a value; of a
 list the first element counts; JSON null keeps its path but has no text. Of two spellings of one path
 in a document the later one counts.
@@ -42,9 +42,18 @@ def _is_object(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
+def _is_true(value: Column) -> Column:
+    """Whether a value, or the first of a list, is JSON true and not a text that says so."""
+    shown = F.try_variant_get(value, "$", "string")
+    kind = lambda place: F.schema_of_variant(F.try_variant_get(value, place, "variant")) == "BOOLEAN"
+    return F.coalesce((shown == "true") & kind("$"), F.lit(False)) | F.coalesce(shown.startswith("[true") & kind("$[0]"), F.lit(False))
+
+
 def _texts_of(pairs: Column, paths: Sequence[str]) -> Column:
     wanted = F.filter(pairs, lambda e: e["key"].isin(list(paths)) & ~F.coalesce(_is_object(e["value"]), F.lit(False)))
-    return F.transform(wanted, lambda e: F.struct(e["key"].alias("path"), _leaf_text(e["value"]).alias("text")))
+    return F.transform(
+        wanted, lambda e: F.struct(e["key"].alias("path"), _leaf_text(e["value"]).alias("text"), _is_true(e["value"]).alias("is_true"))
+    )
 
 
 def _ordered_children(raw: Column, above: Column | None = None) -> Column:
@@ -71,7 +80,7 @@ def _later_spelling(json_text: Column, paths: Sequence[str], depth: int) -> Colu
 
 
 def flatten_document(json_text: Column, paths: Sequence[str]) -> Column:
-    """array<struct<path, text>> of those paths that occur in a JSON object.
+    """array<struct<path, text, is_true>> of those paths that occur in a JSON object.
 
     Only objects under the first segments of the paths are opened, and only as deep as the paths go.
     """

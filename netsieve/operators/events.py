@@ -82,15 +82,17 @@ def _flattening(paths: tuple[str, ...]) -> tuple[Column, Column]:
 
 def flatten(events: DataFrame, paths: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Flatten ``_source`` once: ``_values`` holds the text of each path in order, ``_paths`` the
-    paths that occur."""
+    paths that occur, ``_trues`` those whose value is JSON true."""
     pairs, values = _flattening(tuple(paths))
+    trues = F.filter("_pairs", lambda p: p["is_true"])["path"]
     return (
         repeated_keys_allowed(events)
         .select(*keep, pairs.alias("_pairs"))
-        .select(*keep, once(F.col("_pairs.path")).alias("_paths"), once(F.col("_pairs.text")).alias("_texts"))
+        .select(*keep, once(F.col("_pairs.path")).alias("_paths"), once(F.col("_pairs.text")).alias("_texts"), once(trues).alias("_trues"))
         .select(
             *keep,
             "_paths",
+            "_trues",
             values.alias("_values"),
         )
     )
@@ -112,11 +114,18 @@ class EventFields:
     def stripped(self, name: str) -> Column:
         return strip(self.get(name))
 
+    def numeral(self, path: str) -> Column:
+        """The text at a path as numbers read it: JSON true is 1."""
+        return F.when(F.array_contains("_trues", path), F.lit("1")).otherwise(self.text(path))
+
+    def _numeral_of(self, name: str) -> Column:
+        return first_present(*[self.numeral(path) for path in self._paths[name]])
+
     def number(self, name: str) -> Column:
-        return to_float(self.get(name))
+        return to_float(self._numeral_of(name))
 
     def whole(self, name: str) -> Column:
-        return to_int(self.get(name))
+        return to_int(self._numeral_of(name))
 
 
 def duration_seconds(event: EventFields) -> Column:
@@ -140,7 +149,7 @@ def byte_count(event: EventFields) -> Column:
     has_total = F.array_contains("_paths", "network.bytes")
     given = event.get("any_total_bytes", default=None).isNotNull() & has_total
     both = _two_way(event, "bytes")
-    total = to_float(event.text("network.bytes"))
+    total = to_float(event.numeral("network.bytes"))
     return F.when(given, total).when(both > 0, both).otherwise(event.number("total_bytes"))
 
 

@@ -29,7 +29,7 @@ objects = st.recursive(values, lambda inner: st.dictionaries(names, inner, max_s
 documents = st.dictionaries(names, objects, max_size=4)
 
 
-def flat(document):
+def flat(document, paths=PATHS):
     found = {}
 
     def walk(at, value):
@@ -41,7 +41,7 @@ def flat(document):
             found[".".join(at)] = None if first is None else str(first)
 
     walk((), document)
-    return {p: found[p] for p in PATHS if p in found}
+    return {p: found[p] for p in paths if p in found}
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -53,6 +53,19 @@ def test_flattening_equals_a_plain_walk(spark, docs):
         assert {p.path: p.text for p in row.pairs} == flat(docs[row.n])
 
 
+LEAF_PATHS = ["a.b.c", "a.c", "b.a", "d", "c.a.b.d"]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(documents, min_size=40, max_size=80))
+def test_one_pass_equals_a_plain_walk(spark, docs):
+    frame = spark.createDataFrame([(n, json.dumps(d)) for n, d in enumerate(docs)], "n int, j string")
+    rows = frame.select("n", flatten_document(F.col("j"), LEAF_PATHS).alias("pairs")).collect()
+    for row in rows:
+        whole = flat(docs[row.n], LEAF_PATHS)
+        assert {p.path: p.text for p in row.pairs} == whole
+
+
 def one(spark, mapper, source):
     frame = spark.createDataFrame([("i", "1", json.dumps(source))], "_index string, _id string, _source string")
     return mapper(frame).first()
@@ -76,6 +89,19 @@ def test_durations_and_packets(spark):
     assert one(spark, events.map_ids_events, start).duration == 0.0
 
 
+def test_true_is_one_and_its_text_is_no_number(spark):
+    row = one(spark, events.map_ids_events, {"source": {"port": True, "bytes": [True]}, "destination.port": True, "event": {"severity": "true"}})
+    assert (row.src_port, row.dst_port, row.bytes, row.severity) == (1, 1, 1.0, 0)
+    assert one(spark, events.map_ids_events, {"network": {"bytes": True, "packets": False}}).bytes == 1.0
+    assert one(spark, events.map_firewall_events, {"source": {"port": "true"}}).src_port == 0
+
+
+def test_keys_with_a_dot_are_found_however_they_are_written(spark):
+    cases = {r'{"a\u002eb":1}': "1", '{"a.b" : 2}': "2", '{"a":{"b":"x.y\\":z"}}': 'x.y":z', '{"a":{"b":"1.5"}}': "1.5", '{"é.":0,"a":{"b":3}}': "3"}
+    frame = spark.createDataFrame([(j,) for j in cases], "j string")
+    assert {r.j: r.v for r in frame.select("j", leaf(F.col("j"), "a.b").alias("v")).collect()} == cases
+
+
 def test_uri_rules_differ(spark):
     source = {"rule": {"name": "SIG"}, "network": {"application": "HTTP"}, "message": "m"}
     assert one(spark, events.map_firewall_events, source).uri == ""
