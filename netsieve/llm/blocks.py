@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -31,14 +32,20 @@ ENDS_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 SAME = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th"}
-FRAME_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|side-?bar\w*|footer|header|masthead|cookies?|consent|notices?|"
-    r"alerts?|newsletter|subscri\w*|signup|login|share|sharing|social|related|recommend\w*|widget|comments?|replies|respond|disqus|tags?|pager|pagination|"
-    r"popup|modal|copyright|toolbar|search\w*|form)(?:$|[\s_-])",
-    re.IGNORECASE,
+FRAME_WORD = re.compile(
+    r"ads?|advert\w*|banners?|sponsor\w*|promo\w*|nav\w*|menus?|breadcrumbs?|sidebars?|footers?|header|masthead|cookies?|consent|notices?|"
+    r"alerts?|newsletter|subscri\w*|signup|login|share|sharing|social|related|recommend\w*|widgets?|comments?|replies|respond|disqus|tags|pager|pagination|"
+    r"popup|modal|copyright|toolbar|search|searchbox|searchform|form"
 )
-MAIN_WORDS = re.compile(r"(?:^|[\s_-])(?:article\w*|post|entry|story|main\w*|content|body|text)(?:$|[\s_-])", re.IGNORECASE)
-
+MAIN_WORD = re.compile(r"articles?|post|entry|story|main|content|body|text")
+# What a class says about the page or about its state, not about the text inside: has-sidebar, no-sidebar, tag-news, comments-open.
+ABOUT = frozenset("has no with without is not tag category cat hide show hidden".split())
+STATES = frozenset("open closed enabled disabled on off none hidden left right".split())
+HOLDERS = frozenset("area bar block box button buttons container content group holder inner item items links list panel region section text thread title wrap wrapper".split())
+TITLES = frozenset("header masthead banner".split())
+LANDMARKS = frozenset("article main nav header footer aside h1".split())
+
+FORM = 2
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(?:[!?])[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.DOTALL)
 HINT = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
@@ -52,6 +59,27 @@ class Block(NamedTuple):
     main: bool  # inside an article or main element, or one whose class says so, nearer than any frame
 
 
+def marks(hints: str) -> tuple[bool, bool]:
+    """(frame, main) as class names and the like say it; each name counts as a whole.
+
+    ``post-comments`` and ``comment-list`` are frames, ``article-header`` is the title of an article, ``has-sidebar`` and ``comments-open`` say nothing.
+    """
+    frame = main = False
+    for token in hints.lower().split():
+        parts = [p for p in re.split(r"[-_]+", token) if p]
+        if not parts or parts[0] in ABOUT or parts[-1] in STATES:
+            continue
+        own_title = parts[-1] in TITLES and MAIN_WORD.fullmatch(parts[0]) is not None and len(parts) > 1 and parts[0] != "main"
+        held = parts[-1] in HOLDERS and any(FRAME_WORD.fullmatch(p) for p in parts[:-1])
+        if own_title:
+            main = True
+        elif held or FRAME_WORD.fullmatch(parts[-1]) or token in ("side-bar", "sign-up"):
+            frame = True
+        elif MAIN_WORD.fullmatch(parts[-1]) or MAIN_WORD.fullmatch(parts[0]):
+            main = True
+    return frame, main
+
+
 def _raw_end(page: str, name: str, at: int) -> int:
     """Where an element whose content is no text ends; the page's end if nothing closes it."""
     found = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|$)", re.IGNORECASE).search(page, at)
@@ -59,10 +87,16 @@ def _raw_end(page: str, name: str, at: int) -> int:
 
 
 def blocks(page: str | None) -> list[Block]:
-    """Flat blocks of a page in order. Unclosed and misplaced tags are allowed; what a page cuts off ends with it."""
+    """Flat blocks of a page in order. Unclosed and misplaced tags are allowed; what a page cuts off ends with it.
+
+    A form that holds a heading of the page, an article or another landmark wraps the page and is no frame. An article or main element
+    is main whatever its class says, unless it lies in a frame or in another one (there, one called a comment is a comment).
+    """
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, int, int]] = []  # name, 1 in a frame, 1 in main
+    stack: list[tuple[str, int, int, bool]] = []  # name, 1 in a frame (FORM if only in a form), 1 in main, in a heading
+    opened: Counter[str] = Counter()
+    forms: list[tuple[int, int]] = []  # of open forms: place in the stack, first block
     parts: list[str] = []
     link_parts: list[str] = []
     frame = main = links = 0
@@ -74,15 +108,28 @@ def blocks(page: str | None) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 linked = len(html.unescape(" ".join(link_parts)).split())
-                out.append(Block(text, text.count(" ") + 1, linked, heading, bool(frame), bool(main)))
+                out.append(Block(text, text.count(" ") + 1, linked, heading, frame, bool(main)))
         parts.clear()
         link_parts.clear()
 
     def close(depth: int) -> None:
         nonlocal frame, main, heading
-        del stack[depth:]
-        frame, main = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
-        heading = any(s[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for s in stack)
+        while len(stack) > depth:
+            opened[stack.pop()[0]] -= 1
+        while forms and forms[-1][0] >= depth:
+            forms.pop()
+        frame, main, heading = stack[-1][1:] if stack else (0, 0, False)
+
+    def unwrap() -> None:
+        """The open forms wrap the page: what lies in nothing but them is in no frame."""
+        nonlocal frame
+        place, first = forms[0]
+        for i in range(place, len(stack)):
+            if stack[i][1] == FORM:
+                stack[i] = (stack[i][0], 0, *stack[i][2:])
+        out[first:] = [b._replace(frame=0) if b.frame == FORM else b for b in out[first:]]
+        frame = 0 if frame == FORM else frame
+        forms.clear()
 
     at = 0
     for token in iter(lambda: TOKEN.search(page, at), None):
@@ -105,11 +152,12 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if closing:
             flush()
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    close(depth)
-                    links = 0
-                    break
+            if opened[name]:
+                depth = len(stack) - 1
+                while stack[depth][0] != name:
+                    depth -= 1
+                close(depth)
+                links = 0
             continue
         if name in DROPPED and name != "head":
             flush()
@@ -125,20 +173,29 @@ def blocks(page: str | None) -> list[Block]:
             if stack and stack[-1][0] == open_name:
                 close(len(stack) - 1)
         hints = " ".join(a or b or c for a, b, c in HINT.findall(token[3])) if token[3] else ""
-        inner_frame = name in FRAME or (bool(hints) and FRAME_WORDS.search(hints) is not None)
-        inner_main = name in MAIN or (bool(hints) and MAIN_WORDS.search(hints) is not None)
+        if name in LANDMARKS and forms and frame != 1:
+            unwrap()
+        called_frame, called_main = marks(hints) if hints else (False, False)
+        if name in MAIN:
+            inner_frame, inner_main = called_frame and bool(main), True
+        else:
+            inner_frame, inner_main = name in FRAME or called_frame, called_main
         if name == "header" and main and not frame:
             inner_frame = False  # an article's own heading
-        if inner_frame:
+        if name == "form" and not frame:
+            forms.append((len(stack), len(out)))
+            frame, main = FORM, 0
+        elif inner_frame:
             frame, main = 1, 0
         elif inner_main and not frame:
             main = 1
-        stack.append((name, frame, main))
         heading = heading or name in ("h1", "h2", "h3", "h4", "h5", "h6")
+        stack.append((name, frame, main, heading))
+        opened[name] += 1
     if at < len(page):
         parts.append(page[at:])
     flush()
-    return out
+    return [b._replace(frame=bool(b.frame)) for b in out]
 
 
 FEATURES = (
@@ -173,6 +230,11 @@ LAYOUTS: tuple[tuple[tuple[int, int, int, str], ...], ...] = (
     ((0, 12, 12, ""), (0, 2, 0, ""), (1, 9, 0, "hm"), (1, 120, 4, "ms"), (1, 15, 15, "m"), (1, 70, 0, "ms"), (0, 18, 0, "s"), (0, 3, 3, "")),
     ((0, 45, 0, "s"), (1, 7, 0, "hm"), (1, 33, 0, "ms"), (1, 48, 0, "m"), (0, 60, 0, "s"), (0, 7, 0, "")),
     ((0, 9, 0, "h"), (1, 30, 0, "ms"), (1, 1, 0, "m"), (0, 25, 20, ""), (0, 80, 0, "fs"), (0, 90, 2, "fs")),
+    # short and odd articles, alone or between anything: what lies in main is text
+    ((1, 4, 0, "m"),), ((1, 1, 0, "ms"), (1, 1, 0, "ms")), ((1, 2, 0, "hm"), (1, 12, 0, "ms"), (1, 2, 0, "ms")), ((1, 3, 0, "m"), (1, 2, 0, "m"), (1, 1, 0, "m")),
+    ((0, 3, 3, "f"), (1, 2, 0, "m"), (0, 9, 9, "f")), ((0, 4, 4, ""), (1, 5, 0, "m"), (0, 6, 6, "")), ((0, 9, 9, ""), (1, 7, 0, "hm"), (1, 1, 1, "m"), (1, 3, 0, "m"), (0, 8, 8, "")),
+    ((1, 2, 0, "hm"), (1, 4, 4, "m"), (1, 9, 0, "ms"), (1, 2, 0, "m"), (0, 12, 0, "fs")), ((0, 2, 2, "f"), (1, 3, 0, "hm"), (0, 9, 0, "fs"), (1, 2, 0, "ms"), (0, 7, 7, "f"), (1, 1, 0, "m")),
+    ((1, 9, 0, "ms"), (0, 11, 0, "s"), (0, 2, 0, "")), ((0, 21, 0, "s"), (1, 8, 0, "m"), (0, 35, 0, "s"), (0, 48, 0, "s")),
     # no main element: paragraphs among short lines and link lists
     ((0, 6, 6, ""), (0, 4, 4, ""), (1, 9, 0, "h"), (1, 60, 1, "s"), (1, 45, 0, "s"), (1, 12, 0, "s"), (1, 70, 3, "s"), (0, 5, 5, ""), (0, 8, 8, ""), (0, 9, 0, "")),
     ((0, 2, 2, ""), (0, 3, 3, ""), (1, 40, 0, "s"), (1, 22, 0, "s"), (1, 6, 0, "s"), (1, 50, 0, "s"), (0, 12, 10, ""), (0, 7, 7, "")),
@@ -180,6 +242,10 @@ LAYOUTS: tuple[tuple[tuple[int, int, int, str], ...], ...] = (
     ((0, 30, 28, ""), (1, 110, 5, "s"), (1, 8, 0, "h"), (1, 75, 0, "s"), (1, 18, 0, "s"), (0, 20, 18, ""), (0, 5, 1, "")),
     ((1, 7, 0, "h"), (1, 35, 0, "s"), (1, 28, 0, "s")),
     ((1, 50, 0, "s"),), ((1, 12, 0, "s"), (1, 40, 0, "s")), ((0, 3, 3, ""), (1, 20, 0, "s"), (0, 2, 2, "")),
+    # no marks at all; short plain blocks are text between paragraphs (captions, list items, short answers) and are not beside links and other short ones
+    ((0, 5, 0, ""), (0, 7, 7, ""), (0, 5, 0, ""), (1, 48, 0, "s"), (1, 5, 0, ""), (1, 62, 0, "s"), (1, 4, 0, ""), (1, 41, 1, "s"), (0, 5, 0, ""), (0, 6, 6, ""), (0, 4, 0, "")),
+    ((0, 4, 4, ""), (0, 6, 0, ""), (0, 5, 5, ""), (1, 55, 0, "s"), (1, 6, 0, ""), (1, 38, 0, "s"), (1, 7, 0, ""), (1, 44, 0, "s"), (0, 3, 3, ""), (0, 7, 0, ""), (0, 4, 4, "")),
+    ((0, 3, 0, ""), (0, 8, 8, ""), (0, 6, 0, ""), (0, 9, 9, ""), (1, 70, 2, "s"), (1, 3, 0, ""), (1, 36, 0, "s"), (1, 8, 0, ""), (1, 52, 0, "s"), (0, 6, 0, ""), (0, 9, 9, ""), (0, 3, 0, "")),
     # frames with long texts: sidebars, notices, forms and reader comments
     ((0, 50, 0, "fs"), (0, 70, 5, "fs"), (1, 8, 0, "h"), (1, 55, 0, "s"), (1, 65, 0, "s"), (0, 40, 0, "fs"), (0, 35, 0, "fs"), (0, 2, 0, "f")),
     ((0, 5, 0, "hf"), (0, 24, 0, "fs"), (0, 3, 0, "f"), (1, 42, 0, "s"), (1, 10, 0, "s"), (1, 44, 0, "s"), (0, 110, 0, "fs"), (0, 95, 0, "fs")),
@@ -205,7 +271,7 @@ class Node(NamedTuple):
     verdict: bool
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6, least: int = 2) -> Node:
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8, least: int = 2) -> Node:
     """A classification tree by Gini impurity; ties go to the first feature and the lowest value."""
     verdict = bool(labels.mean() >= 0.5)
     best = (0.0, -1, 0.0)

@@ -122,6 +122,54 @@ def test_pages_of_the_table(spark, small):
     assert {r.page_id: r.text for r in blocks.extract_text(pages).collect()} == want
 
 
+BODY = "<h1>A title</h1><p>It rained all day in the hills, and the river rose.</p><p>By noon the bridge was closed to all.</p>"
+TEXT = "A title It rained all day in the hills, and the river rose. By noon the bridge was closed to all."
+FRAMES = "<nav><a href=/>Home</a></nav>{}<div class='post-comments'><p>I like this long post a lot, thanks to all.</p></div><footer>All rights are ours, as ever.</footer>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article class='post tag-news'>@</article>",
+        "<div class='content has-sidebar'>@</div>",
+        "<div class='layout no-sidebar'><div class=content>@</div></div>",
+        "<div class='single comments-open'><article>@</article></div>",
+        "<main id='search-article'>@</main>",
+        "<article><div class='article-header'>@</div></article>",
+        "<form method=post><article>@</article></form>",
+        "<form id=aspnet><div><div class=content>@</div></div></form>",
+    ],
+)
+def test_class_names_of_whole_pages_do_not_lose_the_article(page):
+    assert blocks.main_text(FRAMES.format(page.replace("@", BODY))) == TEXT
+
+
+def test_small_forms_and_called_frames_go():
+    for part in ("<form><p>Write to us here, and we will answer soon.</p></form>", "<div class='comment-list'><p>So true, I saw it with my own eyes.</p></div>",
+                 "<article class=comment><p>So true, I saw it with my own eyes.</p></article>", "<div class='cookie_notice'><p>We use cookies to make this site work well.</p></div>"):
+        assert blocks.main_text(f"<article>{BODY}{part}</article>") == TEXT
+
+
+def test_neighbours_decide():
+    def used(node):
+        return set() if node.feature < 0 else {blocks.FEATURES[node.feature]} | used(node.left) | used(node.right)
+
+    assert used(blocks.trained()) & {"words_before", "link_density_before", "words_after", "link_density_after"}
+    long = "<p>" + "rain fell on the hills and on the river " * 6 + "all day.</p>"
+    caption, link = "<p>The old stone bridge here</p>", "<p><a href=x>More of our best stories today</a></p>"
+    assert "old stone bridge" in blocks.main_text(long + caption + long)
+    assert "old stone bridge" not in blocks.main_text(link + caption + link + long)
+
+
+def test_deep_markup_takes_linear_time():
+    import time
+
+    for page in ("<div>" * 50_000 + "x" + "</div>" * 50_000, "<div>" * 50_000 + "</p>" * 50_000, "<p><h1>" * 30_000):
+        start = time.process_time()
+        blocks.main_text(page)
+        assert time.process_time() - start < 2
+
+
 def test_tree_fits_its_table():
     rows, labels = blocks.labelled_table()
     assert (blocks.verdicts(blocks.trained(), rows) == labels).mean() > 0.95
