@@ -187,15 +187,15 @@ def blocks(page: str | None) -> list[Block]:
             frame, main = FORM, 0
         elif inner_frame:
             frame, main = 1, 0
-        elif inner_main and not frame:
-            main = 1
+        elif inner_main and frame != 1:
+            main = 1  # in a form it counts if that turns out to wrap the page
         heading = heading or name in ("h1", "h2", "h3", "h4", "h5", "h6")
         stack.append((name, frame, main, heading))
         opened[name] += 1
     if at < len(page):
         parts.append(page[at:])
     flush()
-    return [b._replace(frame=bool(b.frame)) for b in out]
+    return [b._replace(frame=bool(b.frame), main=b.main and not b.frame) for b in out]
 
 
 FEATURES = (
