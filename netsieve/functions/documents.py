@@ -49,11 +49,11 @@ def _is_true(value: Column) -> Column:
     return F.coalesce((shown == "true") & kind("$"), F.lit(False)) | F.coalesce(shown.startswith("[true") & kind("$[0]"), F.lit(False))
 
 
-def _texts_of(pairs: Column, paths: Sequence[str]) -> Column:
+def _texts_of(json_text: Column, pairs: Column, paths: Sequence[str]) -> Column:
     wanted = F.filter(pairs, lambda e: e["key"].isin(list(paths)) & ~F.coalesce(_is_object(e["value"]), F.lit(False)))
-    return F.transform(
-        wanted, lambda e: F.struct(e["key"].alias("path"), _leaf_text(e["value"]).alias("text"), _is_true(e["value"]).alias("is_true"))
-    )
+    # Most documents do not hold the word at all.
+    is_true = lambda e: F.when(json_text.contains("true"), _is_true(e["value"])).otherwise(F.lit(False))
+    return F.transform(wanted, lambda e: F.struct(e["key"].alias("path"), _leaf_text(e["value"]).alias("text"), is_true(e).alias("is_true")))
 
 
 def _ordered_children(raw: Column, above: Column | None = None) -> Column:
@@ -73,7 +73,7 @@ def _later_spelling(json_text: Column, paths: Sequence[str], depth: int) -> Colu
     for _ in range(depth):
         inner = lambda e: _ordered_children(F.when(_is_object(e["value"]), e["raw"]), e["key"])
         pairs = F.flatten(F.transform(pairs, lambda e: F.coalesce(inner(e), F.array(e))))
-    texts = F.reverse(_texts_of(pairs, paths))
+    texts = F.reverse(_texts_of(json_text, pairs, paths))
     return F.transform(
         F.array(texts), lambda t: F.filter(t, lambda e, i: F.array_position(t["path"], e["path"]) == i + 1)
     )[0]
@@ -103,7 +103,7 @@ def flatten_document(json_text: Column, paths: Sequence[str]) -> Column:
         pairs = F.flatten(F.transform(pairs, open_pair))
     # The array of one names the value, so that it is computed once.
     return F.transform(
-        F.array(_texts_of(pairs, paths)),
+        F.array(_texts_of(json_text, pairs, paths)),
         lambda found: F.when(
             F.size(F.array_distinct(found["path"])) < F.size(found), _later_spelling(json_text, paths, depth)
         ).otherwise(found),

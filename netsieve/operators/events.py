@@ -74,16 +74,17 @@ EVENT_COLUMNS = ["_index", "_id", "_source"]
 
 
 @built_once
-def _flattening(paths: tuple[str, ...]) -> tuple[Column, Column]:
+def _flattening(paths: tuple[str, ...]) -> tuple[Column, Column, Column]:
     names = F.array(*[F.lit(path) for path in paths])
     values = F.transform(names, lambda n: F.get("_texts", F.array_position("_paths", n) - 1))
-    return flatten_document(F.col("_source"), paths), values
+    numerals = F.transform(F.arrays_zip(names.alias("name"), F.col("_values").alias("value")), lambda v: F.when(F.array_contains("_trues", v["name"]), "1").otherwise(v["value"]))
+    return flatten_document(F.col("_source"), paths), values, F.when(F.size("_trues") == 0, F.col("_values")).otherwise(numerals)
 
 
 def flatten(events: DataFrame, paths: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Flatten ``_source`` once: ``_values`` holds the text of each path in order, ``_paths`` the
-    paths that occur, ``_trues`` those whose value is JSON true."""
-    pairs, values = _flattening(tuple(paths))
+    paths that occur, ``_numerals`` the texts as numbers read them: JSON true is 1."""
+    pairs, values, numerals = _flattening(tuple(paths))
     trues = F.filter("_pairs", lambda p: p["is_true"])["path"]
     return (
         repeated_keys_allowed(events)
@@ -93,8 +94,9 @@ def flatten(events: DataFrame, paths: Sequence[str], keep: Sequence[str]) -> Dat
             *keep,
             "_paths",
             "_trues",
-            values.alias("_values"),
+            once(values).alias("_values"),
         )
+        .select(*keep, "_paths", "_values", numerals.alias("_numerals"))
     )
 
 
@@ -115,8 +117,8 @@ class EventFields:
         return strip(self.get(name))
 
     def numeral(self, path: str) -> Column:
-        """The text at a path as numbers read it: JSON true is 1."""
-        return F.when(F.array_contains("_trues", path), F.lit("1")).otherwise(self.text(path))
+        """The text at a path as numbers read it."""
+        return F.col("_numerals")[self.all_paths.index(path)]
 
     def _numeral_of(self, name: str) -> Column:
         return first_present(*[self.numeral(path) for path in self._paths[name]])
