@@ -1,5 +1,8 @@
+import datetime
+
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from netsieve.functions import patterns
 from netsieve.functions.text import request_text
 from netsieve.operators.features import score_features, text_features
@@ -49,3 +52,13 @@ def test_suspicion_reads_the_undecoded_uri(spark):
     frame = spark.createDataFrame([(u,) for u in uris], "uri string")
     found = {r.uri: r.s for r in frame.select("uri", patterns.is_suspicious(F.col("uri")).alias("s")).collect()}
     assert found == uris
+
+
+def test_query_on_script_tags_reads_texts_that_hold_them(spark, folder):
+    rows = [(n, datetime.datetime(2024, 1, 1), n, "view", 1.0, '{"k": 1}') for n in range(24)]
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/events.parquet")
+    found = entry.queries()["d30_uri_xss_script_tag_hits"](spark, folder).collect()
+    assert {row.event_id: row.uri_xss_script_tag_hits for row in found} == {n: 2.0 if n % 12 == 3 else 0.0 for n in range(24)}
+    assert "%3Cscript%3E" in entry.oracle_sql()["d30_uri_xss_script_tag_hits"]
+    assert "%3Cscript%3E" not in entry.oracle_sql()["d29_uri_xss_event_handler_hits"]
