@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from netsieve.operators import sinks
+from netsieve.operators import models, sinks
 from netsieve.plans import prediction, telemetry, training
 
 BOOSTED = {"rounds": 3, "depth": 3, "rate": 0.3}
@@ -67,3 +67,11 @@ def test_predict_file(spark, trained, folder):
 def test_missing_artifacts_are_named(spark, folder):
     with pytest.raises(FileNotFoundError, match="model"):
         sinks.load_artifacts(spark, f"{folder}/nothing")
+
+
+def test_parts_of_a_fit_do_not_grow_with_the_table(spark, monkeypatch):
+    table = spark.range(0, 1000, 1, 2)
+    assert models.in_parts(table).rdd.getNumPartitions() == 2
+    monkeypatch.setattr(models, "FIT_ROWS", 100)
+    sizes = models.in_parts(table).rdd.glom().map(len).collect()
+    assert len(sizes) == 10 and sum(sizes) == 1000 and max(sizes) <= 120
