@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from netsieve.functions.documents import flatten_document, leaf, repeated_keys_allowed, to_int
+from netsieve.functions.documents import flatten_document, leaf, plain_texts, repeated_keys_allowed, to_int
 from netsieve.operators import events
 from netsieve.operators.records import primary_view
 
@@ -120,3 +120,44 @@ def test_large_ports_stay_in_the_record_and_are_scored_within_range(spark):
     assert tuple(frame.select(view["src_port"], view["dst_port"]).first()) == (65535, 0)
     texts = spark.createDataFrame([("7.9",), ("-7.9",), ("x",), (None,), ("1e30",)], "t string")
     assert [r[0] for r in texts.select(to_int(F.col("t"))).collect()] == [7, -7, 0, 0, 0]
+
+
+ODD = [
+    *CASES, "", "[]", "null", "7", '"a.b"', '{"a":{"b":1}} tail', '{"a":{"b":01}}', '{"a":{"b":NaN}}', '{"a":{"b":-0}}', '{"a":{"b":-0.0}}',
+    '{"a":{"b":1.50}}', '{"a":{"b":100.0}}', '{"a":{"b":1e3}}', '{"a":{"b":1.5E-9}}', '{"a":{"b":0.000000000000000000001}}',
+    '{"a":{"b":12345678901234567890}}', '{"a":{"b":999999999999999999}}', '{"a":{"b":false}}', '{"a":{"b":true}}', '{"a":{"b":"true"}}',
+    '{"a":{"b":[true]}}', '{"a":{"b":[null,1]}}', '{"a":{"b":[[1],2]}}', '{"a":{"b":[{"c":1}]}}', '{"a":{"b":[1.50,2]}}', '{"a":{"b":["p",{"c":1}]}}',
+    '{"a":{"b":{}}}', '{"a":{}}', '{"a":[{"b":1}]}', '{"a":{"b":"\\u00e9\\ud83d\\ude00"}}', '{"a":{"b":"\\ud800"}}', '{"a":{"b":"\u00e9"}}', '{"a":{"b":"x\ty"}}',
+    '{"a":{"b":"x\\ny\\u0000"}}', ' {"a" : {"b" : 1} } ', '{"a":{"b":1,}}', "{'a':1}", '{"a":{"":{"b":3}},"a..b":1}', '{"a":1,"a":{"b":2}}',
+    '{"a":{"b.c":5,"b":{"d":1}}}', '{"a":{"b":{"c":1}},"a.b":{"c":2}}', '{"a.b.c":null,"a":{"b":{"c":4}}}', None,
+]
+
+
+def test_plain_documents_read_in_one_pass_as_variants_do(spark):
+    paths = ["a", "a.b", "a.b.c", "a..b", "b"]
+    frame = repeated_keys_allowed(spark.createDataFrame(list(enumerate(ODD)), "n int, j string"))
+    rows = frame.select("n", plain_texts(F.col("j"), paths).alias("plain"), flatten_document(F.col("j"), paths).alias("pairs")).collect()
+    read = {}
+    for row in rows:
+        if row.plain is not None:
+            read[ODD[row.n]] = dict(zip(paths, row.plain))
+            occur = row.plain[-1].split("\n") if row.plain[-1] else []
+            assert {p: read[ODD[row.n]][p] for p in occur} == {p.path: p.text for p in row.pairs}, ODD[row.n]
+    assert read['{"a":{"b":["x","y"]}}']["a.b"] == "x" and read['{"a":{"b":1.50}}']["a.b"] == "1.5" and len(read) > 20
+    assert not {'{"a":{"b":true}}', '{"a":{"b":1e3}}', '{"a":{"b":"first"},"a.b":"second"}', '{"a":{"b":1}} tail'} & set(read)
+
+
+def test_all_documents_give_the_values_of_the_variants(spark):
+    paths = ["a", "a.b", "a.b.c", "b"]
+    frame = repeated_keys_allowed(spark.createDataFrame(list(enumerate(ODD)), "n int, _source string"))
+    found = {r.n: r for r in events.flatten(frame, paths, ["n"]).collect()}
+    for row in frame.select("n", flatten_document(F.col("_source"), paths).alias("pairs")).collect():
+        wanted = {p.path: p.text for p in row.pairs or []}
+        assert dict(zip(paths, found[row.n]._values or [None] * 4)) == {p: wanted.get(p) for p in paths}, ODD[row.n]
+        assert sorted(found[row.n]._paths or []) == sorted(wanted), ODD[row.n]
+
+
+def test_a_path_of_one_segment_is_read_by_name(spark):
+    frame = repeated_keys_allowed(spark.createDataFrame(list(enumerate(ODD)), "n int, j string"))
+    rows = frame.select("n", leaf(F.col("j"), "a").alias("v"), F.get(flatten_document(F.col("j"), ["a"]), F.lit(0))["text"].alias("w")).collect()
+    assert all(row.v == row.w for row in rows), [(ODD[row.n], row.v, row.w) for row in rows if row.v != row.w]
