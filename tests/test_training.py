@@ -3,7 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from netsieve.operators import models, sinks
+from netsieve.operators import features, lookups, models, sinks, state, weights
+from netsieve.operators.sizing import checkpoint_table, scratch_path
 from netsieve.plans import prediction, telemetry, training
 
 BOOSTED = {"rounds": 3, "depth": 3, "rate": 0.3}
@@ -75,3 +76,34 @@ def test_parts_of_a_fit_do_not_grow_with_the_table(spark, monkeypatch):
     monkeypatch.setattr(models, "FIT_ROWS", 100)
     sizes = models.in_parts(table).rdd.glom().map(len).collect()
     assert len(sizes) == 10 and sum(sizes) == 1000 and max(sizes) <= 120
+
+
+def longest_method(frame):
+    """Bytes of the longest method that Spark generates for a plan."""
+    stages = frame._jdf.queryExecution().debug().codegenToSeq()
+    return max(stages.apply(n)._3().maxMethodCodeSize() for n in range(stages.size()))
+
+
+def test_generated_methods_are_short_enough_to_be_compiled(spark, small, monkeypatch):
+    rows = weights.with_sample_weights(telemetry.unified_view(spark, small))
+    stored = checkpoint_table(rows, "rows")
+    fitted = state.fit_to(stored, scratch_path(spark, "state"))
+    spark.conf.set("spark.sql.adaptive.enabled", False)  # an adaptive plan has no code before it runs
+    try:
+        table = features.transform(stored, fitted, ["event_id", "label", "weight"])
+        assert longest_method(table) < 8000  # HotSpot interprets longer ones
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    with monkeypatch.context() as patch:
+        for module in (features, lookups):
+            patch.setattr(module, "code_cut", lambda frame, text="": frame)
+        plain = features.transform(stored, fitted, ["event_id", "label", "weight"])
+    assert table.exceptAll(plain).count() == 0 and table.count() == plain.count() == 1000
+
+
+def test_files_of_a_feature_table_do_not_grow_with_the_table(spark, small, monkeypatch):
+    monkeypatch.setattr(models, "FIT_ROWS", 100)
+    stored = checkpoint_table(telemetry.unified_view(spark, small).coalesce(1), "rows")
+    table = training.feature_table(stored, state.fit_to(stored, scratch_path(spark, "state")), ["event_id"])
+    sizes = [row["count"] for row in table.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 10 and max(sizes) == 100 and sum(sizes) == 1000
