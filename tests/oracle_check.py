@@ -72,6 +72,7 @@ def session(cores: str = "8"):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.retainedStages", "20000")  # a test sums over all stages of the session
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -107,3 +107,21 @@ def test_files_of_a_feature_table_do_not_grow_with_the_table(spark, small, monke
     table = training.feature_table(stored, state.fit_to(stored, scratch_path(spark, "state")), ["event_id"])
     sizes = [row["count"] for row in table.groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) == 10 and max(sizes) == 100 and sum(sizes) == 1000
+
+
+def test_a_table_in_small_files_is_fitted_without_a_shuffle(spark, folder, monkeypatch):
+    monkeypatch.setattr(models, "FIT_ROWS", 100)
+    seen = []
+
+    class Estimator:
+        def fit(self, table):
+            seen.append((table.rdd.getNumPartitions(), "RoundRobin" in table._jdf.queryExecution().executedPlan().toString()))
+
+    features_of = [F.col("id").cast("float").alias(name) for name in models.fixed.FEATURE_NAMES]
+    rows = spark.range(0, 3000, 1, 1).select(F.lit(1).alias("label"), *features_of)
+    opening = spark.conf.get("spark.sql.files.openCostInBytes")
+    for name, limit in (("small", 100), ("large", 0)):
+        rows.write.option("maxRecordsPerFile", limit).parquet(f"{folder}/{name}")
+        models.fit_model(Estimator(), spark.read.parquet(f"{folder}/{name}"), F.lit(1.0))
+    assert seen == [(30, False), (30, True)]
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == opening
