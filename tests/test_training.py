@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from netsieve.operators import features, lookups, models, sinks, state, weights
 from netsieve.operators.sizing import checkpoint_table, scratch_path
-from netsieve.plans import prediction, telemetry, training
+from netsieve.plans import catalog, prediction, telemetry, training
 
 BOOSTED = {"rounds": 3, "depth": 3, "rate": 0.3}
 FOREST = {"trees": 4, "depth": 5}
@@ -125,3 +125,20 @@ def test_a_table_in_small_files_is_fitted_without_a_shuffle(spark, folder, monke
         models.fit_model(Estimator(), spark.read.parquet(f"{folder}/{name}"), F.lit(1.0))
     assert seen == [(30, False), (30, True)]
     assert spark.conf.get("spark.sql.files.openCostInBytes") == opening
+
+
+def test_the_boosted_query_grows_the_trees_of_the_operator(spark, monkeypatch):
+    features_of = [F.col("id").cast("float").alias(name) for name in models.fixed.FEATURE_NAMES]
+    label, keys = (F.col("id") >= 20).cast("int").alias("label"), [F.col("id").alias("event_id"), F.lit(1.0).alias("weight")]
+    table = spark.range(0, 40, 1, 1).select(*keys, label, *features_of)
+    monkeypatch.setattr(catalog, "_training_features", lambda spark, folder: table)
+    asked, fit = [], models.fit_model
+
+    def fit_one_tree(estimator, *rest):
+        asked.append([estimator.getMaxIter(), estimator.getMaxDepth(), estimator.getStepSize(), estimator.getSubsamplingRate()])
+        return fit(estimator.copy({estimator.maxIter: 1, estimator.maxDepth: 1}), *rest)
+
+    monkeypatch.setattr(models, "fit_model", fit_one_tree)
+    rows = catalog.ENTRIES["k1_boosted_trees"].query(spark, "").collect()
+    assert asked == [[400, 10, 0.03, 0.8]]
+    assert sorted((r.event_id, r.label) for r in rows) == [(n, int(n >= 20)) for n in range(40)]
